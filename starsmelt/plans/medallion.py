@@ -5,15 +5,22 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from starsmelt.plans.gold import GOLD_TABLES, build_gold, gold_layout
 from starsmelt.plans.silver import SILVER_TABLES, build_silver, silver_layout
 from starsmelt.schemas import BRONZE_FIELDS, BRONZE_SCHEMA
 from starsmelt.sources.pages import read_pages
-from starsmelt.sources.parquet import require_rows, write_parquet
+from starsmelt.sources.parquet import NoRecords
 from starsmelt.sources.stage import Stage
-from starsmelt.sources.tables import create_schema, load_table, write_tables
+from starsmelt.sources.tables import (
+    create_schema,
+    load_table,
+    row_count_check,
+    write_table,
+    write_tables,
+)
 
 ROWS_PER_BUCKET = 2_000_000
 MIN_ROWS_PER_BUCKET = 20_000
@@ -67,13 +74,28 @@ class MedallionTables(Mapping):
 
 
 def load_bronze(
-    spark: SparkSession, pages: str, target: Target, stage: Stage, expected_pages: int | None = None
+    spark: SparkSession,
+    source: str,
+    target: Target,
+    source_format: str = "pages",
+    expected_pages: int | None = None,
 ) -> int:
-    """Pages to staged Parquet to the bronze table, verified; an empty extract raises."""
-    records = read_pages(spark, pages, BRONZE_FIELDS, expected_pages)
-    write_parquet(records, stage.path("records"))
-    require_rows(spark.read.parquet(stage.path("records")), pages)
-    return load_table(spark, stage.path("records"), f"{target.bronze}.items", BRONZE_SCHEMA)
+    """Replace the bronze table and return its verified row count; an empty extract raises.
+
+    ``source`` holds landed pages or, with ``source_format`` ``"parquet"``, staged records. Pages go
+    to the table in one pass: the rows are counted while they are written, not by a second read.
+    """
+    table = f"{target.bronze}.items"
+    if source_format == "parquet":
+        rows = load_table(spark, source, table, BRONZE_SCHEMA)
+    else:
+        counted = Observation()
+        records = read_pages(spark, source, BRONZE_FIELDS, expected_pages)
+        write_table(records.observe(counted, F.count(F.lit(1)).alias("rows")), table)
+        rows = row_count_check(spark, table, counted.get["rows"])
+    if rows == 0:
+        raise NoRecords(f"no records in {source}")
+    return rows
 
 
 def refine_silver(spark: SparkSession, target: Target, stage: Stage, buckets: int) -> None:
@@ -95,15 +117,15 @@ def refine_gold(spark: SparkSession, target: Target, buckets: int) -> None:
 
 def run_medallion(
     spark: SparkSession,
-    pages: str,
+    source: str,
     target: Target = Target(),
+    source_format: str = "pages",
     expected_pages: int | None = None,
 ) -> MedallionTables:
     """All steps in order; the first that fails raises and the later ones do not start."""
-    stage = Stage(spark)
     target.create(spark)
-    rows = load_bronze(spark, pages, target, stage, expected_pages)
+    rows = load_bronze(spark, source, target, source_format, expected_pages)
     buckets = target.buckets_for(rows, spark.sparkContext.defaultParallelism)
-    refine_silver(spark, target, stage, buckets)
+    refine_silver(spark, target, Stage(spark), buckets)
     refine_gold(spark, target, buckets)
     return MedallionTables(spark, target)

@@ -1,7 +1,7 @@
 """Sources and sinks: landed pages, Parquet datasets, catalog tables."""
 
-from starsmelt.sources.pages import encode_nested, land_pages, read_pages
-from starsmelt.sources.parquet import read_parquet, require_rows, write_parquet
+from starsmelt.sources.pages import PagesMissing, encode_nested, land_pages, read_pages
+from starsmelt.sources.parquet import NoRecords, read_parquet, require_rows, write_parquet
 from starsmelt.sources.stage import Stage, shared_folder
 from starsmelt.sources.tables import (
     Layout,
@@ -15,7 +15,7 @@ from starsmelt.sources.tables import (
 )
 
 __all__ = [
-    "Layout", "RowCountMismatch", "Stage", "create_schema", "encode_nested", "land_pages",
+    "Layout", "NoRecords", "PagesMissing", "RowCountMismatch", "Stage", "create_schema", "encode_nested", "land_pages",
     "load_table", "read_pages", "read_parquet", "read_table", "require_rows", "row_count_check",
     "shared_folder", "write_parquet", "write_table", "write_tables",
 ]
