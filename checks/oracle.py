@@ -28,11 +28,11 @@ BASE = f"""
 WITH lines AS (
   SELECT l.*, p_name, p_brand, p_size, s_suppkey, s_name, n_nationkey, n_name, r_regionkey, r_name
   FROM lineitem l
-  JOIN orders ON l_orderkey = o_orderkey
   JOIN part ON l_partkey = p_partkey
   JOIN supplier ON l_suppkey = s_suppkey
   JOIN nation ON s_nationkey = n_nationkey
   JOIN region ON n_regionkey = r_regionkey
+  WHERE l_orderkey IN (SELECT o_orderkey FROM orders)
 ), per_item AS (
   SELECT l_orderkey AS k, count(*) AS n, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS hours,
     count(*) FILTER (WHERE l_returnflag = 'A') AS flag_a,
@@ -42,7 +42,7 @@ WITH lines AS (
     count(*) FILTER (WHERE l_linestatus = 'F') AS status_f,
     count(*) FILTER (WHERE l_discount = 0) AS no_discount
   FROM lines GROUP BY l_orderkey
-), record AS (
+), every_record AS (
   SELECT o_orderkey AS id, {_NAME} AS name, {_RELEASED} AS released,
     o_orderkey % 37 = 0 AS tba,
     CASE WHEN o_orderkey % 41 <> 0 THEN o_totalprice / 100000.0::DOUBLE END AS rating,
@@ -56,8 +56,13 @@ WITH lines AS (
       THEN substr(o_orderpriority, 3) END AS content_rating
   FROM orders LEFT JOIN per_item ON o_orderkey = k
 ), bronze AS (
-  SELECT * FROM record
-  UNION ALL SELECT * REPLACE (added + 1 AS added) FROM record WHERE id % 100 = 0
+  SELECT * FROM every_record
+  UNION ALL SELECT * REPLACE (added + 1 AS added) FROM every_record WHERE id % 100 = 0
+), record AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY id ORDER BY released, rating NULLS LAST, added,
+      content_rating_id NULLS LAST, content_rating NULLS LAST) AS rn FROM bronze
+  ) WHERE rn = 1
 ), s_fact_items AS (
   SELECT id AS item_id, {_clean('name')} AS item_name, TRY_CAST(released AS DATE) AS released, tba,
     rating, ratings_count, reviews_text_count, reviews_count, added, playtime AS usage_hrs,

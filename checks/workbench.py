@@ -81,9 +81,10 @@ class Workbench(Mapping):
         build, layout = {
             "silver": (self.build_silver, silver_layout), "gold": (self.build_gold, gold_layout),
         }[layer]
-        full_name = f"{self.target.schema(layer)}.{table}"
+        full_name = self.target.table(layer, table)
         if name not in self._written:
-            write_table(build(table), full_name, layout(table, self.buckets))
+            path = self.target.path(layer, table)
+            write_table(build(table), full_name, layout(table, self.buckets), path)
             self._written.add(name)
         return self.spark.table(full_name)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -28,7 +28,8 @@ MIN_ROWS_PER_BUCKET = 20_000
 
 @dataclass(frozen=True)
 class Target:
-    """Where the layers live. ``location`` is the folder of the three schemas, if not the warehouse.
+    """Where the layers live. With ``location`` every table is a folder below it, so that another
+    application can read them without sharing the catalog; else the tables are managed.
 
     ``buckets`` None sizes the buckets by the row count of bronze: as many as keep a bucket within
     ``ROWS_PER_BUCKET`` items, and on small data enough to occupy the cores. 0 writes plain tables.
@@ -40,12 +41,16 @@ class Target:
     location: str | None = None
     buckets: int | None = None
 
-    def schema(self, layer: str) -> str:
-        return {"bronze": self.bronze, "silver": self.silver, "gold": self.gold}[layer]
+    def table(self, layer: str, name: str) -> str:
+        schema = {"bronze": self.bronze, "silver": self.silver, "gold": self.gold}[layer]
+        return f"{schema}.{name}"
+
+    def path(self, layer: str, name: str) -> str | None:
+        table = self.table(layer, name).replace(".", "/")
+        return f"{self.location}/{table}" if self.location else None
 
     def create(self, spark: SparkSession) -> None:
-        for layer in ("bronze", "silver", "gold"):
-            name = self.schema(layer)
+        for name in (self.bronze, self.silver, self.gold):
             create_schema(spark, name, f"{self.location}/{name}" if self.location else None)
 
     def buckets_for(self, rows: int, cores: int) -> int:
@@ -63,7 +68,10 @@ class MedallionTables(Mapping):
 
     def __getitem__(self, name: str) -> DataFrame:
         layer, table = name.split(".")
-        return self.spark.table(f"{self.target.schema(layer)}.{table}")
+        full_name = self.target.table(layer, table)
+        if self.target.location and not self.spark.catalog.tableExists(full_name):
+            return self.spark.read.parquet(self.target.path(layer, table))
+        return self.spark.table(full_name)
 
     def __iter__(self) -> Iterator[str]:
         yield from (f"silver.{name}" for name in SILVER_TABLES)
@@ -85,34 +93,38 @@ def load_bronze(
     ``source`` holds landed pages or, with ``source_format`` ``"parquet"``, staged records. Pages go
     to the table in one pass: the rows are counted while they are written, not by a second read.
     """
-    table = f"{target.bronze}.items"
+    table, path = target.table("bronze", "items"), target.path("bronze", "items")
     if source_format == "parquet":
-        rows = load_table(spark, source, table, BRONZE_SCHEMA)
+        rows = load_table(spark, source, table, BRONZE_SCHEMA, path)
     else:
         counted = Observation()
         records = read_pages(spark, source, BRONZE_FIELDS, expected_pages)
-        write_table(records.observe(counted, F.count(F.lit(1)).alias("rows")), table)
+        write_table(records.observe(counted, F.count(F.lit(1)).alias("rows")), table, path=path)
         rows = row_count_check(spark, table, counted.get["rows"])
     if rows == 0:
         raise NoRecords(f"no records in {source}")
     return rows
 
 
-def refine_silver(spark: SparkSession, target: Target, stage: Stage, buckets: int) -> None:
-    built = build_silver(spark.table(f"{target.bronze}.items"), stage)
+def _write_layer(
+    target: Target, layer: str, built: Mapping[str, DataFrame], layout: Callable, buckets: int
+) -> None:
+    names = {name: target.table(layer, name) for name in built}
     write_tables(
-        {f"{target.silver}.{name}": df for name, df in built.items()},
-        {f"{target.silver}.{name}": silver_layout(name, buckets) for name in built},
+        {names[name]: df for name, df in built.items()},
+        {names[name]: layout(name, buckets) for name in built},
+        {names[name]: target.path(layer, name) for name in built},
     )
 
 
+def refine_silver(spark: SparkSession, target: Target, stage: Stage, buckets: int) -> None:
+    built = build_silver(spark.table(target.table("bronze", "items")), stage)
+    _write_layer(target, "silver", built, silver_layout, buckets)
+
+
 def refine_gold(spark: SparkSession, target: Target, buckets: int) -> None:
-    silver = {name: spark.table(f"{target.silver}.{name}") for name in SILVER_TABLES}
-    built = build_gold(silver)
-    write_tables(
-        {f"{target.gold}.{name}": df for name, df in built.items()},
-        {f"{target.gold}.{name}": gold_layout(name, buckets) for name in built},
-    )
+    silver = {name: spark.table(target.table("silver", name)) for name in SILVER_TABLES}
+    _write_layer(target, "gold", build_gold(silver), gold_layout, buckets)
 
 
 def run_medallion(

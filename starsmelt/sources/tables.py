@@ -32,10 +32,12 @@ def create_schema(spark: SparkSession, name: str, location: str | None = None) -
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{name}`{clause}")
 
 
-def write_table(df: DataFrame, table: str, layout: Layout = Layout()) -> None:
-    """Replace a managed Parquet table.
+def write_table(
+    df: DataFrame, table: str, layout: Layout = Layout(), path: str | None = None
+) -> None:
+    """Replace a Parquet table, managed or, with ``path``, kept in that folder.
 
-    With buckets the rows are first shuffled on the key, so that each bucket is one file instead of
+    A table with a path is replaced even when this catalog does not know it yet. With buckets the rows are first shuffled on the key, so that each bucket is one file instead of
     one file per task. Only narrow tables with a key of bounded frequency are laid out like that.
     """
     if layout.buckets and layout.key:
@@ -44,22 +46,25 @@ def write_table(df: DataFrame, table: str, layout: Layout = Layout()) -> None:
             writer = writer.sortBy(*layout.sort)
     else:
         writer = df.write
+    if path:
+        writer = writer.option("path", path)
     writer.format("parquet").mode("overwrite").saveAsTable(table)
 
 
 def write_tables(
     tables: Mapping[str, DataFrame],
     layouts: Mapping[str, Layout] | None = None,
+    paths: Mapping[str, str | None] | None = None,
     at_once: int = 4,
 ) -> None:
     """Replace several independent tables, ``at_once`` jobs at a time; the first failure raises.
 
     Small tables leave most of a cluster idle, so their jobs share it.
     """
-    layouts = layouts or {}
+    layouts, paths = layouts or {}, paths or {}
     with ThreadPoolExecutor(max_workers=at_once) as pool:
         jobs = [
-            pool.submit(write_table, df, table, layouts.get(table, Layout()))
+            pool.submit(write_table, df, table, layouts.get(table, Layout()), paths.get(table))
             for table, df in tables.items()
         ]
         for job in jobs:
@@ -78,11 +83,13 @@ def row_count_check(spark: SparkSession, table: str, expected: int) -> int:
     return found
 
 
-def load_table(spark: SparkSession, path: str, table: str, schema: str) -> int:
+def load_table(
+    spark: SparkSession, path: str, table: str, schema: str, table_path: str | None = None
+) -> int:
     """Replace a table with a staged Parquet dataset and verify the count.
 
     A missing path or a mismatch raises, so a later step never runs on half a load.
     """
     source = spark.read.schema(schema).parquet(path)
-    write_table(source, table)
+    write_table(source, table, path=table_path)
     return row_count_check(spark, table, source.count())

@@ -77,6 +77,17 @@ def test_a_failing_step_stops_the_rest(spark, bench):
     assert not spark.catalog.tableExists(f"{target.silver}.fact_items")
 
 
+def test_another_application_reads_and_replaces_the_folders(spark, bench, flow):
+    """A catalog that does not know the tables: dropping them keeps the folders."""
+    target = bench.new_target()
+    run_medallion(spark, bench.pages, target)
+    for schema in (target.bronze, target.silver, target.gold):
+        for table in spark.catalog.listTables(schema):
+            spark.sql(f"DROP TABLE {schema}.{table.name}")
+    assert content(MedallionTables(spark, target)) == content(flow)
+    assert content(run_medallion(spark, bench.pages, target)) == content(flow)
+
+
 def test_bucket_count_follows_the_data():
     target = Target()
     assert [target.buckets_for(rows, 8) for rows in (1, 15_000, 150_000, 10**7, 10**9)] == [
