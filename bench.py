@@ -30,21 +30,23 @@ from starsmelt.plans.medallion import (  # noqa: E402
     refine_gold,
     refine_silver,
 )
+from starsmelt.session import settings_for  # noqa: E402
 from starsmelt.sources import Stage  # noqa: E402
 
 
-def local_session(cpus: str) -> SparkSession:
+def local_session(cpus: str, folder: str) -> SparkSession:
     scratch = tempfile.mkdtemp(prefix="bench-")
-    spark = (
+    input_bytes = sum(path.stat().st_size for path in Path(folder).glob("*.parquet"))
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]").appName("bench")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
-        .config("spark.sql.shuffle.partitions", cpus)
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", f"{scratch}/shared")
         .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
-        .getOrCreate()
     )
+    for name, value in settings_for(input_bytes, int(cpus)).items():
+        builder = builder.config(name, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
@@ -59,7 +61,7 @@ def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
     rounds = int(os.environ.get("BENCH_ROUNDS", "3"))
-    spark = local_session(cpus)
+    spark = local_session(cpus, folder)
     bench = Workbench(spark, folder)
     times: dict[str, float] = {}
 

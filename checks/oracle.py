@@ -135,6 +135,11 @@ SILVER = ("fact_items", "dim_content_ratings", "dim_categories", "dim_platforms"
           "dim_platform_families", "dim_stores", "dim_tags", "bridge_item_categories",
           "bridge_item_platforms", "bridge_item_platform_families", "bridge_item_stores",
           "bridge_item_tags", "bridge_item_votes")
+KEYS = {
+    "dim_content_ratings": "content_rating_id", "dim_categories": "category_id",
+    "dim_platforms": "platform_id", "dim_platform_families": "platform_family_id",
+    "dim_stores": "store_id", "dim_tags": "tag_id",
+}
 GOLD = ("fact_items", "bridge_categories", "bridge_platforms", "bridge_platform_families",
         "bridge_stores", "bridge_votes", "agg_top_tags")
 SCALARS = ("id, name, released, tba, rating, ratings_count, reviews_text_count, reviews_count, "
@@ -257,14 +262,16 @@ def oracle_sql() -> dict[str, str]:
           FROM bronze""",
         "date_rejects": """SELECT count(*) AS date_rejects FROM bronze
           WHERE released IS NOT NULL AND TRY_CAST(released AS DATE) IS NULL""",
-        "dim_key_violations": _row_counts({
-            "dim_content_ratings": _variants("dim_content_ratings", "content_rating_id"),
-            "dim_categories": _variants("dim_categories", "category_id"),
-            "dim_platforms": _variants("dim_platforms", "platform_id"),
-            "dim_platform_families": _variants("dim_platform_families", "platform_family_id"),
-            "dim_stores": _variants("dim_stores", "store_id"),
-            "dim_tags": _variants("dim_tags", "tag_id"),
-        }, "dimension", "keys_with_variants"),
+        "dim_key_violations": _row_counts(
+            {dim: _variants(dim, key) for dim, key in KEYS.items()}, "dimension", "keys_with_variants"),
+        "quality_report": f"""
+          SELECT 'total_rows' AS "check", count(*) AS found FROM bronze
+          UNION ALL SELECT 'distinct_keys', count(*) FROM record
+          UNION ALL SELECT 'removed_rows', (SELECT count(*) FROM bronze) - (SELECT count(*) FROM record)
+          UNION ALL SELECT 'date_rejects', count(*) FROM bronze
+            WHERE {_clean('released')} IS NOT NULL AND TRY_CAST(released AS DATE) IS NULL
+          UNION ALL """ + _row_counts(
+            {f"{dim}_variants": _variants(dim, key) for dim, key in KEYS.items()}, '"check"', "found"),
         **{f"silver_{name}": f"SELECT * FROM s_{name}" for name in SILVER},
         "silver_write_all": _row_counts(
             {name: f"SELECT * FROM s_{name}" for name in SILVER}, "table_name", "row_count"),

@@ -22,7 +22,8 @@ from starsmelt.operators.filters import Params, apply_filters
 from starsmelt.plans.datasets import DATASETS, apply_to_all, run
 from starsmelt.plans.feeds import FEEDS, feed
 from starsmelt.plans.gold import GOLD_TABLES
-from starsmelt.plans.silver import CONTENT_RATINGS, DIMENSIONS, SILVER_TABLES
+from starsmelt.plans.medallion import quality_report
+from starsmelt.plans.silver import DIMENSION_KEYS, SILVER_TABLES
 from starsmelt.schemas import BRONZE_SCHEMA, DECODED_COLUMNS, SCALAR_FIELDS
 from starsmelt.sources import (
     encode_nested,
@@ -53,10 +54,6 @@ FILTERS = {
 }
 ITEM_COLUMNS = ("item_id", "item_name", "released", "rating", "usage_hrs", "content_rating")
 LINE_KEY = ("l_orderkey", "l_linenumber")
-DIMENSION_KEYS = {
-    CONTENT_RATINGS: "content_rating_id",
-    **{name: next(iter(columns)) for name, (_, columns) in DIMENSIONS.items()},
-}
 
 
 def page_flatten(spark, folder):
@@ -150,6 +147,10 @@ def medallion_end_to_end(spark, folder):
     return run("kpi", workbench(spark, folder).end_to_end)
 
 
+def medallion_quality_report(spark, folder):
+    return quality_report(workbench(spark, folder).end_to_end)
+
+
 def apply_to_all_rows(spark, folder):
     return _one_row_each(apply_to_all(workbench(spark, folder), P5), "dataset", "row_count")
 
@@ -209,4 +210,5 @@ QUERIES: dict[str, Query] = {
     **{f"feed_{name}": _feed(name) for name in FEEDS},
     "feed_all": feed_all,
     "medallion_end_to_end": medallion_end_to_end,
+    "quality_report": medallion_quality_report,
 }

@@ -33,7 +33,7 @@ def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     rounds = int(os.environ.get("BENCH_ROUNDS", "3"))
-    spark = local_session(cpus)
+    spark = local_session(cpus, folder)
     bench = Workbench(spark, folder)
 
     def noop(df):

@@ -8,10 +8,16 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from starsmelt.operators.quality import (
+    date_rejects,
+    dedupe_report,
+    dim_key_unique,
+    null_tokens_to_null,
+)
 from starsmelt.plans.gold import GOLD_TABLES, build_gold, gold_layout
-from starsmelt.plans.silver import SILVER_TABLES, build_silver, silver_layout
+from starsmelt.plans.silver import DIMENSION_KEYS, SILVER_TABLES, build_silver, silver_layout
 from starsmelt.schemas import BRONZE_FIELDS, BRONZE_SCHEMA
-from starsmelt.sources.pages import read_pages
+from starsmelt.sources.pages import read_pages, require_pages
 from starsmelt.sources.parquet import NoRecords
 from starsmelt.sources.stage import Stage
 from starsmelt.sources.tables import (
@@ -91,16 +97,18 @@ def load_bronze(
     """Replace the bronze table and return its verified row count; an empty extract raises.
 
     ``source`` holds landed pages or, with ``source_format`` ``"parquet"``, staged records. Pages go
-    to the table in one pass: the rows are counted while they are written, not by a second read.
+    to the table in one pass: pages and rows are counted while they are written, and a wrong count
+    raises then, before silver is touched.
     """
     table, path = target.table("bronze", "items"), target.path("bronze", "items")
     if source_format == "parquet":
         rows = load_table(spark, source, table, BRONZE_SCHEMA, path)
     else:
-        counted = Observation()
-        records = read_pages(spark, source, BRONZE_FIELDS, expected_pages)
-        write_table(records.observe(counted, F.count(F.lit(1)).alias("rows")), table, path=path)
-        rows = row_count_check(spark, table, counted.get["rows"])
+        pages_seen, rows_seen = Observation(), Observation()
+        records = read_pages(spark, source, BRONZE_FIELDS, pages_seen)
+        write_table(records.observe(rows_seen, F.count(F.lit(1)).alias("rows")), table, path=path)
+        require_pages(pages_seen, expected_pages, source)
+        rows = row_count_check(spark, table, rows_seen.get["rows"])
     if rows == 0:
         raise NoRecords(f"no records in {source}")
     return rows
@@ -127,6 +135,26 @@ def refine_gold(spark: SparkSession, target: Target, buckets: int) -> None:
     _write_layer(target, "gold", build_gold(silver), gold_layout, buckets)
 
 
+def quality_report(tables: MedallionTables) -> DataFrame:
+    """What the cleaning met, as ``(check, found)``: duplicates, bad dates, ids with two names.
+
+    Bronze is read for its key and date columns only.
+    """
+    spark, target = tables.spark, tables.target
+    bronze = null_tokens_to_null(
+        spark.table(target.table("bronze", "items")).select("id", "released"))
+    counts = dedupe_report(bronze, ["id"]).unpivot(
+        [], ["total_rows", "distinct_keys", "removed_rows"], "check", "found")
+    rejects = date_rejects(bronze, "released").unpivot([], ["date_rejects"], "check", "found")
+    report = counts.unionByName(rejects)
+    for name, key in DIMENSION_KEYS.items():
+        variants = dim_key_unique(tables[f"silver.{name}"], key)
+        report = report.unionByName(
+            variants.agg(F.count(F.lit(1)).alias("found"))
+            .select(F.lit(f"{name}_variants").alias("check"), "found"))
+    return report
+
+
 def run_medallion(
     spark: SparkSession,
     source: str,

@@ -42,6 +42,11 @@ BRIDGES = {
         {"vote_id": "id", "vote_title": "title", "vote_count": "count", "vote_percent": "percent"}),
 }
 
+DIMENSION_KEYS = {
+    CONTENT_RATINGS: "content_rating_id",
+    **{name: next(iter(fields)) for name, (_, fields) in DIMENSIONS.items()},
+}
+
 SILVER_TABLES = (FACT, CONTENT_RATINGS, *DIMENSIONS, *BRIDGES)
 
 

@@ -1,6 +1,12 @@
 """Sources and sinks: landed pages, Parquet datasets, catalog tables."""
 
-from starsmelt.sources.pages import PagesMissing, encode_nested, land_pages, read_pages
+from starsmelt.sources.pages import (
+    PagesMissing,
+    encode_nested,
+    land_pages,
+    read_pages,
+    require_pages,
+)
 from starsmelt.sources.parquet import NoRecords, read_parquet, require_rows, write_parquet
 from starsmelt.sources.stage import Stage, shared_folder
 from starsmelt.sources.tables import (
@@ -16,6 +22,6 @@ from starsmelt.sources.tables import (
 
 __all__ = [
     "Layout", "NoRecords", "PagesMissing", "RowCountMismatch", "Stage", "create_schema", "encode_nested", "land_pages",
-    "load_table", "read_pages", "read_parquet", "read_table", "require_rows", "row_count_check",
-    "shared_folder", "write_parquet", "write_table", "write_tables",
+    "load_table", "read_pages", "read_parquet", "read_table", "require_pages", "require_rows",
+    "row_count_check", "shared_folder", "write_parquet", "write_table", "write_tables",
 ]

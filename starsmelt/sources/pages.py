@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starsmelt.schemas import BRONZE_FIELDS, ddl
@@ -18,7 +18,7 @@ def read_pages(
     spark: SparkSession,
     path: str,
     fields: dict[str, str] = BRONZE_FIELDS,
-    expected_pages: int | None = None,
+    pages_seen: Observation | None = None,
     multi_line: bool = False,
     mode: str = "FAILFAST",
 ) -> DataFrame:
@@ -27,7 +27,8 @@ def read_pages(
     Fields typed ``string`` that are nested in the source keep their raw JSON text, which is the
     bronze form. One page per line is the default: such files are splittable, so a page file of any
     size spreads over many tasks. Set ``multi_line`` for pretty-printed pages, one per file. A page
-    that is not JSON raises rather than vanishing.
+    that is not JSON raises rather than vanishing. ``pages_seen`` receives ``pages``, the number of
+    pages read, when the result is written; :func:`require_pages` checks it.
     """
     pages = (
         spark.read.schema(f"results array<struct<{ddl(fields)}>>")
@@ -35,13 +36,18 @@ def read_pages(
         .option("mode", mode)
         .json(path)
     )
-    if expected_pages is not None:
-        found = pages.count()
-        if found != expected_pages:
-            raise PagesMissing(f"expected {expected_pages} pages in {path}, found {found}")
+    if pages_seen is not None:
+        pages = pages.observe(pages_seen, F.count(F.lit(1)).alias("pages"))
     return pages.select(F.inline("results"))
 
 
+def require_pages(pages_seen: Observation, expected: int | None, path: str) -> None:
+    """Raise unless the pages read are those the extract announced; None expects nothing."""
+    found = pages_seen.get["pages"]
+    if expected is not None and found != expected:
+        raise PagesMissing(f"expected {expected} pages in {path}, found {found}")
+
+
 def encode_nested(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Nested columns as JSON text, with null members written out; a NULL value stays NULL."""
     nested = set(columns)

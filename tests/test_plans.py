@@ -11,6 +11,7 @@ from checks.queries import P5, lineitem_dedupe
 from checks.workbench import Workbench
 from starsmelt.operators.filters import Params, apply_filters
 from starsmelt.operators.joins import denormalise, fits_broadcast
+from starsmelt.operators.quality import duplicate_keys, null_tokens_to_null
 from starsmelt.plans.datasets import DATASETS, run
 
 FOLDER = "/root/testdata/sf0.001"
@@ -97,6 +98,12 @@ def test_duplicates_shrink_before_the_shuffle(spark, large):
     assert text.count("WindowGroupLimit") == 2 and below.count("WindowGroupLimit") == 1
 
 
+def test_repeated_keys_are_found_from_the_key_column(bench, large):
+    text = plan(duplicate_keys(null_tokens_to_null(bench.bronze), ["id"]))
+    assert "ReadSchema: struct<id:bigint>" in text
+    assert text.count("HashAggregate") == 2
+
+
 def test_bridge_reads_one_member_and_does_not_shuffle(bench, large):
     text = plan(bench.build_silver("bridge_item_platforms"))
     assert exchanges(text) == []

@@ -5,6 +5,7 @@ from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import Observation
 
 from starsmelt.schemas import BRONZE_FIELDS, BRONZE_SCHEMA
 from starsmelt.sources import (
@@ -19,6 +20,7 @@ from starsmelt.sources import (
     read_pages,
     read_parquet,
     read_table,
+    require_pages,
     require_rows,
     row_count_check,
     shared_folder,
@@ -43,7 +45,12 @@ def test_pages_become_records_with_raw_nested_text(spark, tmp_path):
         a='{"count":2,"results":[{"id":1,"name":"x","genres":[{"id": 4, "name":"g"}]},{"id":2}]}',
         b='{"results":[]}', c='{"detail":"gone"}',
     )
-    rows = sorted(map(tuple, read_pages(spark, path, FIELDS, expected_pages=3).collect()))
+    seen = Observation()
+    rows = sorted(map(tuple, read_pages(spark, path, FIELDS, seen).collect()))
+    require_pages(seen, 3, path)
+    require_pages(seen, None, path)
+    with pytest.raises(PagesMissing, match="expected 4 pages .* found 3"):
+        require_pages(seen, 4, path)
     assert rows == [(1, "x", '[{"id": 4, "name":"g"}]'), (2, None, None)]
 
 
@@ -56,10 +63,7 @@ def test_pretty_printed_pages(spark, tmp_path):
         read_pages(spark, path, FIELDS).collect()
 
 
-def test_missing_and_broken_pages_raise(spark, tmp_path):
-    path = write(tmp_path / "pages", a='{"results":[]}')
-    with pytest.raises(PagesMissing):
-        read_pages(spark, path, FIELDS, expected_pages=2)
+def test_broken_pages_raise(spark, tmp_path):
     path = write(tmp_path / "broken", a='{"results":[')
     with pytest.raises(Exception, match="MALFORMED_RECORD"):
         read_pages(spark, path, FIELDS).collect()
