@@ -83,15 +83,16 @@ def json_round_trip(spark, folder):
 
 def parquet_bronze_scan(spark, folder):
     bench = workbench(spark, folder)
-    write_parquet(bench.bronze, bench.stage.path("copy"))
-    return read_parquet(spark, bench.stage.path("copy"), BRONZE_SCHEMA).select(*SCALAR_FIELDS)
+    path = bench.stage.path("copy")
+    write_parquet(bench.bronze, path)
+    return read_parquet(spark, path, BRONZE_SCHEMA).select(*SCALAR_FIELDS)
 
 
 def bronze_table_load(spark, folder):
     bench = workbench(spark, folder)
-    table = f"{bench.target.bronze}.items"
-    write_parquet(bench.bronze, bench.stage.path("records"))
-    load_table(spark, bench.stage.path("records"), table, BRONZE_SCHEMA)
+    table, path = bench.new_target().table("bronze", "items"), bench.stage.path("records")
+    write_parquet(bench.bronze, path)
+    load_table(spark, path, table, BRONZE_SCHEMA)
     return read_table(spark, table).select("id", "name", "released", "rating", "added", "playtime")
 
 

@@ -50,8 +50,9 @@ class Workbench(Mapping):
 
     @cached_property
     def pages(self) -> str:
-        land_pages(self.records, self.stage.path("pages"))
-        return self.stage.path("pages")
+        path = self.stage.path("pages")
+        land_pages(self.records, path)
+        return path
 
     @cached_property
     def bronze(self) -> DataFrame:

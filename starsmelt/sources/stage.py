@@ -35,9 +35,11 @@ class Stage:
         self.folder = folder or f"{shared_folder(spark)}/starsmelt-{uuid.uuid4().hex}"
 
     def path(self, name: str) -> str:
-        return f"{self.folder}/{name}"
+        """A folder of its own for each call, so nothing staged is ever overwritten."""
+        return f"{self.folder}/{name}-{uuid.uuid4().hex[:8]}"
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` under ``name`` and return a scan of what was written."""
-        df.write.mode("overwrite").parquet(self.path(name))
-        return self.spark.read.schema(df.schema).parquet(self.path(name))
+        """Write ``df`` to a fresh folder and return a scan of what was written."""
+        path = self.path(name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)

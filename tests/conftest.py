@@ -17,7 +17,8 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[8]").appName("tests")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1")  # short queries
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", str(scratch / "shared"))
         .config("spark.sql.warehouse.dir", str(scratch / "warehouse"))
