@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 1_000_000
-BROADCAST_BYTES = 64 * 1024 * 1024
+# A hash table of this many keys is a few hundred MB in each executor.
+BROADCAST_ROWS = 4_000_000
+BROADCAST_BYTES = 128 * 1024 * 1024
 
 
 def fits_broadcast(

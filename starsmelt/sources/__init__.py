@@ -21,7 +21,8 @@ from starsmelt.sources.tables import (
 )
 
 __all__ = [
-    "Layout", "NoRecords", "PagesMissing", "RowCountMismatch", "Stage", "create_schema", "encode_nested", "land_pages",
-    "load_table", "read_pages", "read_parquet", "read_table", "require_pages", "require_rows",
-    "row_count_check", "shared_folder", "write_parquet", "write_table", "write_tables",
+    "Layout", "NoRecords", "PagesMissing", "RowCountMismatch", "Stage", "create_schema",
+    "encode_nested", "land_pages", "load_table", "read_pages", "read_parquet", "read_table",
+    "require_pages", "require_rows", "row_count_check", "shared_folder", "write_parquet",
+    "write_table", "write_tables",
 ]

@@ -37,8 +37,9 @@ def write_table(
 ) -> None:
     """Replace a Parquet table, managed or, with ``path``, kept in that folder.
 
-    A table with a path is replaced even when this catalog does not know it yet. With buckets the rows are first shuffled on the key, so that each bucket is one file instead of
-    one file per task. Only narrow tables with a key of bounded frequency are laid out like that.
+    A table with a path is replaced even when this catalog does not know it yet. With buckets the
+    rows are first shuffled on the key, so that each bucket is one file instead of one file per
+    task. Only narrow tables with a key of bounded frequency are laid out like that.
     """
     if layout.buckets and layout.key:
         writer = df.repartition(layout.buckets, layout.key).write.bucketBy(layout.buckets, layout.key)

@@ -79,7 +79,8 @@ def test_all_tables(tables):
 
 def test_fact(tables):
     fact = tables["silver.fact_items"]
-    assert rows(fact, "item_id", "item_name", "released", "usage_hrs", "added_playing", "content_rating_id") == [
+    columns = ("item_id", "item_name", "released", "usage_hrs", "added_playing", "content_rating_id")
+    assert rows(fact, *columns) == [
         (1, "Alpha", dt.date(2020, 1, 2), 10, 2, 4), (2, None, None, 0, None, 9),
         (3, "Gamma", dt.date(1985, 6, 30), 4, None, None), (4, "Delta", dt.date(2021, 3, 4), 6, None, None)]
 

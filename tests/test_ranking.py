@@ -44,7 +44,8 @@ def test_distinct_top_of_nothing(spark):
 
 def test_distinct_top_with_a_hot_copy(spark):
     hot = spark.range(20_000).select(F.lit(5.0).alias("r"), F.lit("same").alias("n"))
-    rest = spark.range(40_000).select((F.col("id") / 10_000).alias("r"), F.col("id").cast("string").alias("n"))
+    rest = spark.range(40_000).select(
+        (F.col("id") / 10_000).alias("r"), F.col("id").cast("string").alias("n"))
     top = distinct_top(hot.unionByName(rest), ["r"], [F.desc("r"), F.asc("n")], 3).collect()
     assert [row["n"] for row in top] == ["same", "39999", "39998"]
 
