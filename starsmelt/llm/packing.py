@@ -10,6 +10,7 @@ of the same length.
 from __future__ import annotations
 
 import bisect
+import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -28,7 +29,8 @@ from starsmelt.llm.common import (
     whole_bytes,
 )
 
-CACHE_CHUNKS = 300_000
+#: Distinct chunks whose ids a Python worker remembers.
+CACHE_CHUNKS = 200_000
 #: ``part`` and ``nth`` number the pieces of one length within the task that made them.
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part long, nth long")
 PLACES = "sequence_id long, offset long"
@@ -65,6 +67,7 @@ class WordEncoder:
     """
 
     def __init__(self, tokenizer_file: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
@@ -74,12 +77,37 @@ class WordEncoder:
         parts = [self._ids([p])[0] for p in ("aé", " b's", "\t3", ",", " x")]
         if list(np.concatenate(parts)) != list(self._ids([probe])[0]):
             raise ValueError(f"{tokenizer_file}: words must be encoded apart and in lower case")
-        self.cache: dict[bytes, np.ndarray] = {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that end a word
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.cache: dict[bytes, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32)
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _chunk_ids(self, chunks: list[bytes]) -> None:
+        """Put the ids of new chunks into the cache.
+
+        Chunks of letters only have at least one word each. They are encoded many in a text; if
+        that has as many word ends as chunks, every chunk is one word and the ends part them.
+        """
+        texts = [c.decode().strip(" ") for c in chunks]
+        plain = [k for k, text in enumerate(texts) if text.isalpha()]
+        groups = [plain[at:at + 100] for at in range(0, len(plain), 100)]
+        alone = [k for k, text in enumerate(texts) if not text.isalpha()]
+        for group, ids in zip(groups, self._ids([" ".join(texts[k] for k in g) for g in groups])):
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) != len(group):
+                alone += group
+                continue
+            data, begin = ids.tobytes(), 0
+            for k, end in zip(group, (4 * ends).tolist()):
+                self.cache[chunks[k]] = data[begin:end]
+                begin = end
+        for k, ids in zip(alone, self._ids([texts[k] for k in alone])):
+            self.cache[chunks[k]] = ids.tobytes()
+
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and where each text begins among them (one entry more)."""
         data = b"".join(texts)
@@ -97,14 +125,13 @@ class WordEncoder:
             cache.clear()
         new = [c for c in chunks if c not in cache]
         for at in range(0, len(new), 10_000):
-            some = new[at:at + 10_000]
-            cache.update(zip(some, self._ids([c.decode() for c in some])))
+            self._chunk_ids(new[at:at + 10_000])
         ids = [cache[c] for c in chunks]
         for chunk in new:
             if len(chunk) > 64:
                 del cache[chunk]
-        sizes = np.array([len(x) for x in ids], np.int64)
-        flat = np.concatenate(ids)
+        sizes = np.array([len(x) for x in ids], np.int64) // 4
+        flat = np.frombuffer(b"".join(ids), np.uint32)
         width = sizes[codes]
         ends = np.concatenate([[0], np.cumsum(width)])
         return (flat[ragged((np.cumsum(sizes) - sizes)[codes], width)],
