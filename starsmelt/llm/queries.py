@@ -9,6 +9,7 @@ from starsmelt.llm import (
     chat,
     decontamination,
     line_dedup,
+    ngram_join,
     packing,
     quality_classifier,
     quality_rules,
@@ -64,8 +65,13 @@ def op9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
         read(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model")))
 
 
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_pack, op3_decontaminate, op4_chat, op5_shards, op6_quality, op7_lines, op8_rules, op9_tokens)}
+    op1_pack, op3_decontaminate, op4_chat, op5_shards, op6_quality, op7_lines, op8_rules, op9_tokens,
+    op10_jaccard)}
 
 ORACLE_SQL = {
     "op3_decontaminate": decontamination.SQL,
