@@ -9,8 +9,9 @@ the triangle inequality bounds what each has to see:
   within e of x is at less than 1 from that set, that is, meets it, once k > e |x|. A document is
   therefore replicated to the regions of its first floor(e |x|) + 1 pivots, and linked documents
   meet in a region.
-* 64 pivot sets divide all shingles. By how much two documents differ within each of them adds up
+* Pivot sets divide all shingles. By how much two documents' counts differ in each of them adds up
   to no more than their symmetric difference, so a pair of small vectors rules out most pairs.
+  Longer documents have more pivot sets, and neighbouring sets add up to coarser ones.
 * In a region, documents become pivots: a document goes to the first pivot that the vectors do not
   rule out, or becomes one. Regions with very many documents are dealt to salts, whose pivots
   are joined again.
@@ -25,12 +26,11 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starsmelt.llm.common import byte_slices, id_and_text, stage, whole_bytes
@@ -43,6 +43,8 @@ VECTOR = 64
 SMALL = 64
 #: Documents of a region, or a salt of it, that one task joins.
 REGION = 20_000
+#: Members of a region's largest component that the others meet, round by round.
+ROUNDS = (8, 64)
 
 
 @dataclass(frozen=True)
@@ -121,8 +123,7 @@ def sketches(source: DataFrame, size: int, limit: Threshold, level: np.ndarray)
                 order = np.lexsort((found, level[(found & np.uint64(SKETCH - 1)).astype(np.int64)]))
                 first = found[order[:limit.window(len(found))]]
             windows.append(first.view(np.int64))
-            part = np.bincount((found >> np.uint64(58)).astype(np.int64), minlength=VECTOR)
-            vectors.append(np.minimum(part, 255).astype(np.uint8).tobytes())
+            vectors.append(_vector(found))
         digest = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
         offsets = np.concatenate([[0], np.cumsum([len(w) for w in windows])]).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
@@ -134,9 +135,31 @@ def sketches(source: DataFrame, size: int, limit: Threshold, level: np.ndarray)
     return _scan(source, each, "doc_id long, n int, d1 long, d2 long, window array<long>, vector binary")
 
 
-def _passing(limit: Threshold, n: np.ndarray, v: np.ndarray, n1: int, v1: np.ndarray) -> np.ndarray:
-    apart = np.abs(v.astype(np.int16) - v1.astype(np.int16)).sum(axis=1, dtype=np.int64)
-    return limit.sizes(n, n1) & limit.difference(n, n1, apart)
+def _vector(found: np.ndarray) -> bytes:
+    """Counts of the shingles in 64 to 2048 pivot sets; nothing if a count doesn't fit a byte."""
+    log2 = 6 + min(5, max(0, (len(found) >> 9).bit_length() - 1))
+    counts = np.bincount((found >> np.uint64(64 - log2)).astype(np.int64), minlength=1 << log2)
+    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else b""
+
+
+def _folded(vectors: list[bytes], to: int) -> np.ndarray:
+    """Vectors over ``to`` pivot sets, from vectors of one length that is at least that."""
+    flat = np.frombuffer(b"".join(vectors), np.uint8).reshape(len(vectors), to, -1)
+    return flat.sum(axis=2, dtype=np.int32)
+
+
+def _apart(x: list[bytes], y: list[bytes]) -> np.ndarray:
+    """Least symmetric difference of each pair, as far as their vectors tell."""
+    out = np.zeros(len(x), np.int64)
+    kinds: dict[tuple[int, int], list[int]] = {}
+    for k, (u, v) in enumerate(zip(x, y)):
+        if u and v:
+            kinds.setdefault((len(u), len(v)), []).append(k)
+    for sizes, at in kinds.items():
+        to = min(sizes)
+        gap = _folded([x[k] for k in at], to) - _folded([y[k] for k in at], to)
+        out[at] = np.abs(gap).sum(axis=1)
+    return out
 
 
 PAIRS = "kind int, a long, b long, n int, vector binary"
@@ -148,41 +171,56 @@ class _Region:
 
     def __init__(self, key: tuple, limit: Threshold):
         self.key, self.limit = key, limit
-        self.small, self.ids = key[2] <= SMALL, []
-        self.n, self.v = np.empty(16, np.int64), np.empty((16, VECTOR), np.uint8)
+        self.small = key[2] <= SMALL
+        self.ids: list[int] = []
+        self.raw: list[bytes] = []
+        self.n, self.v = np.empty(16, np.int64), np.empty((16, VECTOR), np.int32)
         self.out: list[tuple] = []
         self.partial = False
 
-    def keep(self, doc: int, n: int, v: np.ndarray) -> None:
+    def near(self, n: int, raw: bytes, v: np.ndarray) -> list[int]:
+        """Which of the documents kept so far no size and no vector rules out."""
+        m = len(self.ids)
+        if not m:
+            return []
+        coarse = np.abs(self.v[:m] - v).sum(axis=1) if raw else np.zeros(m, np.int64)
+        at = np.flatnonzero(self.limit.sizes(self.n[:m], n) & (
+            self.limit.difference(self.n[:m], n, coarse) | np.array([not r for r in self.raw])))
+        if len(at) and len(raw) > VECTOR:
+            apart = _apart([self.raw[k] for k in at], [raw] * len(at))
+            at = at[self.limit.difference(self.n[at], n, apart)]
+        return at.tolist()
+
+    def keep(self, doc: int, n: int, raw: bytes, v: np.ndarray) -> None:
         at = len(self.ids)
         if at == len(self.n):
             self.n, self.v = np.resize(self.n, 2 * at), np.resize(self.v, (2 * at, VECTOR))
         self.n[at], self.v[at] = n, v
         self.ids.append(doc)
+        self.raw.append(raw)
 
-    def add(self, doc: int, n: int, v: np.ndarray) -> None:
-        m = len(self.ids)
-        near = np.flatnonzero(_passing(self.limit, self.n[:m], self.v[:m], n, v)) if m else ()
+    def add(self, doc: int, n: int, raw: bytes, v: np.ndarray) -> None:
+        near = self.near(n, raw, v)
         if self.small:
             self.out += [(_PAIR, self.ids[k], doc, None, None) for k in near]
-            self.keep(doc, n, v)
-        elif len(near):
+            self.keep(doc, n, raw, v)
+        elif near:
             self.out.append((_PAIR, self.ids[near[0]], doc, None, None))
             self.partial = True
         else:
-            self.keep(doc, n, v)
+            self.keep(doc, n, raw, v)
 
     def close(self) -> list[tuple]:
         pivot, salts, m = self.key
         if self.small and len(self.out) > 4 * m:  # a dense group: pivots will do
             again = _Region((pivot, salts, SMALL + 1), self.limit)
             for k, doc in enumerate(self.ids):
-                again.add(doc, int(self.n[k]), self.v[k])
+                again.add(doc, int(self.n[k]), self.raw[k], self.v[k])
             self.out, self.partial = again.out, True
         if self.partial:
             self.out.append((_PARTIAL, pivot, None, None, None))
         if salts > 1:  # its pivots meet those of the other salts
-            self.out += [(_PIVOT, pivot, doc, int(self.n[k]), self.v[k].tobytes())
+            self.out += [(_PIVOT, pivot, doc, int(self.n[k]), self.raw[k])
                          for k, doc in enumerate(self.ids)]
         return self.out
 
@@ -198,14 +236,18 @@ def region_pairs(rows: DataFrame, limit: Threshold) -> DataFrame:
         last = None
         for batch in batches:
             cols = [batch.column(c).to_pylist() for c in ("pivot", "salts", "salt", "m", "doc", "n")]
-            vectors = np.frombuffer(b"".join(batch.column("vector").to_pylist()), np.uint8).reshape(-1, VECTOR)
+            vectors = batch.column("vector").to_pylist()
+            coarse = np.zeros((len(vectors), VECTOR), np.int32)
+            for length in {len(v) for v in vectors} - {0}:
+                at = [k for k, v in enumerate(vectors) if len(v) == length]
+                coarse[at] = _folded([vectors[k] for k in at], VECTOR)
             out: list[tuple] = []
             for k, (pivot, salts, salt, m, doc, n) in enumerate(zip(*cols)):
                 if (pivot, salt) != last:
                     if now:
                         out += now.close()
                     now, last = _Region((pivot, salts, m), limit), (pivot, salt)
-                now.add(doc, n, vectors[k])
+                now.add(doc, n, vectors[k], coarse[k])
             out += now.out if now and not now.small else []
             if now and not now.small:
                 now.out = []
@@ -267,10 +309,12 @@ def _compressed(source: DataFrame) -> DataFrame:
     return _scan(source, each, "doc long, blob binary")
 
 
-def _across(rows: DataFrame, roots: DataFrame, limit: Threshold) -> DataFrame:
-    """Passing pairs across components in the given regions: the smaller components against all.
+def _across(rows: DataFrame, roots: DataFrame, limit: Threshold, some: int | None) -> DataFrame:
+    """Passing pairs across components in the given regions, smaller components against all.
 
-    ``rows``: ``pivot, doc, n, vector`` of regions whose pairs were not all given.
+    ``rows``: ``pivot, doc, n, vector`` of regions whose pairs were not all given. With ``some``,
+    only so many documents of a region's largest component stand for it: those first in an order
+    by hash that is the same in all regions, so that regions agree on them.
     """
     own = rows.join(roots.select(F.col("node").alias("doc"), "root"), "doc", "left").withColumn(
         "root", F.coalesce("root", "doc"))
@@ -278,23 +322,23 @@ def _across(rows: DataFrame, roots: DataFrame, limit: Threshold) -> DataFrame:
     largest = sizes.groupBy("pivot").agg(
         F.max(F.struct("members", "root")).alias("top"), F.count(F.lit(1)).alias("roots")).filter(
         "roots > 1").select("pivot", F.col("top.root").alias("top"))
-    own = own.join(largest, "pivot")
+    own = stage(own.join(largest, "pivot"), "across")
     few = own.filter("root <> top").select(
         "pivot", F.col("doc").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"),
         F.col("vector").alias("va"))
+    if some:
+        rank = F.row_number().over(Window.partitionBy("pivot").orderBy(F.xxhash64("doc"), "doc"))
+        own = own.filter("root = top").withColumn("rank", rank).filter(F.col("rank") <= some)
     met = own.join(few, "pivot").filter("root <> ra").filter(
         (F.least("n", "na") * 100 >= F.greatest("n", "na") * limit.percent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            as_array = lambda c: np.frombuffer(
-                b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, VECTOR).astype(np.int16)
-            apart = np.abs(as_array("va") - as_array("vector")).sum(axis=1, dtype=np.int64)
-            n = batch.column("n").to_numpy() + batch.column("na").to_numpy().astype(np.int64)
-            ok = (100 + limit.percent) * apart <= (100 - limit.percent) * n
+            apart = _apart(batch.column("va").to_pylist(), batch.column("vector").to_pylist())
+            ok = pa.array(limit.difference(batch.column("n").to_numpy().astype(np.int64),
+                                           batch.column("na").to_numpy(), apart))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("a").filter(pa.array(ok)), batch.column("doc").filter(pa.array(ok))],
-                names=["a", "b"])
+                [batch.column("a").filter(ok), batch.column("doc").filter(ok)], names=["a", "b"])
 
     found = met.select("a", "doc", "na", "n", "va", "vector").mapInArrow(run, "a long, b long")
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -344,11 +388,17 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = stage(reps.join(needed, "doc", "left_semi"), "texts")
     links = stage(verify(pairs, texts, size, limit), "links")
     roots = stage(components(links), "roots")
-    more = stage(_across(rest, roots, limit).join(pairs, ["a", "b"], "left_anti"), "across")
-    if more.head(1):
+    for some in (*ROUNDS, None):  # a last round without a bound makes it exact
+        more = stage(_across(rest, roots, limit, some).join(pairs, ["a", "b"], "left_anti"), "pairs")
+        if not more.head(1):
+            if some:
+                continue
+            break
         extra = stage(verify(more, texts, size, limit), "links")
+        pairs = pairs.unionByName(more)
         if extra.head(1):
-            roots = stage(components(links.unionByName(extra)), "roots")
+            links = links.unionByName(extra)
+            roots = stage(components(links), "roots")
     keys = classes.select("class_id", "d1", "d2").dropDuplicates(["d1", "d2"])
     member = sets.join(keys, ["d1", "d2"], "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"),
