@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -37,12 +38,34 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    _forget(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _forget(spark: SparkSession, path: str) -> None:
+    """Have the folder deleted when the application ends."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+
+
+@contextmanager
+def bucketed(df: DataFrame, name: str, key: str) -> Iterator[DataFrame]:
+    """``df`` as a table bucketed on ``key`` in the shared store, for as long as the block lasts.
+
+    Joins on the key then read it without a shuffle, as often as they like.
+    """
+    spark = df.sparkSession
+    table = f"llm_{name}_{uuid.uuid4().hex[:12]}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = f"{shared_folder(spark)}/{table}"
+    df.write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+    _forget(spark, path)
+    try:
+        yield spark.table(table)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

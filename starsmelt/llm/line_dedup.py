@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from starsmelt.llm.common import id_and_text, whole_bytes
 
@@ -72,8 +73,10 @@ def dropped_keys(keys: DataFrame, min_docs: int = 2) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                min_chars: int = 10, min_docs: int = 2) -> DataFrame:
-    """``doc_id, text, n_lines, n_dropped`` for every row; ``text`` has the lines that stay.
+                min_chars: int = 10, min_docs: int = 2, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, text``, the columns of ``keep``, ``n_lines, n_dropped`` for every row.
+
+    ``text`` has the lines that stay.
 
     Lines end at line feeds; a null or empty text is one empty line, which stays (a null text
     becomes empty). A key is a line without blanks at its ends and with ASCII letters in lower
@@ -82,8 +85,14 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     id are one document for the count and one row each in the result. Rows with a null id count
     for no key and lose no line.
     """
-    source = id_and_text(docs, id_col, text_col)
-    drops = dropped_keys(line_keys(source.filter("doc_id IS NOT NULL"), min_chars), min_docs)
+    named = id_and_text(docs, id_col, text_col).filter("doc_id IS NOT NULL")
+    drops = dropped_keys(line_keys(named, min_chars), min_docs)
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                         *[F.col(name).alias(f"kept_{k}") for k, name in enumerate(keep)])
+    passed = [f"kept_{k}" for k in range(len(keep))]
+    fields = [StructField("doc_id", LongType()), StructField("text", StringType()),
+              *(source.schema[name] for name in passed),
+              StructField("n_lines", LongType()), StructField("n_dropped", LongType())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -99,11 +108,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 lost.append(len(own) - len(kept))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(texts, pa.binary()).cast(pa.string()),
+                 *(batch.column(name) for name in passed),
                  pa.array(lines, pa.int64()), pa.array(lost, pa.int64())],
-                names=["doc_id", "text", "n_lines", "n_dropped"])
+                names=["doc_id", "text", *passed, "n_lines", "n_dropped"])
 
-    return source.join(drops, "doc_id", "left").mapInArrow(
-        run, "doc_id long, text string, n_lines long, n_dropped long")
+    result = source.join(drops, "doc_id", "left").mapInArrow(run, StructType(fields))
+    return result.toDF("doc_id", "text", *keep, "n_lines", "n_dropped")
 
 
 def digest(deduped: DataFrame) -> DataFrame:

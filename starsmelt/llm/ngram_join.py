@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starsmelt.llm.common import byte_slices, id_and_text, stage, whole_bytes
+from starsmelt.llm.common import bucketed, byte_slices, id_and_text, stage, whole_bytes
 from starsmelt.llm.components import components
 from starsmelt.llm.shingles import shingle_sets, shingles
 
@@ -44,7 +44,7 @@ SMALL = 64
 #: Documents of a region, or a salt of it, that one task joins.
 REGION = 20_000
 #: Members of a region's largest component that the others meet, round by round.
-ROUNDS = (8, 64)
+ROUNDS = (16,)
 
 
 @dataclass(frozen=True)
@@ -365,7 +365,13 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spread = classes.select(F.explode("window").alias("pivot"), F.col("class_id").alias("doc"), "n")
     shared = spread.groupBy("pivot").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
     vectors = classes.select(F.col("class_id").alias("doc"), "vector")
-    rows = stage(spread.join(shared, "pivot"), "regions")
+    # rows whose neighbours by size are too small and too large link with nothing in the region
+    sizes = Window.partitionBy("pivot").orderBy("n")
+    fits = (F.lag("n").over(sizes) * 100 >= F.col("n") * percent) | (
+        F.col("n") * 100 >= F.lead("n").over(sizes) * percent)
+    met = spread.join(shared, "pivot")
+    rows = stage(met.filter(F.col("m") > REGION).unionByName(
+        met.filter(F.col("m") <= REGION).withColumn("fits", fits).filter("fits").drop("fits")), "regions")
     salts = F.ceil(F.col("m") / REGION).cast("int")
     salted = rows.join(vectors, "doc").select(
         "pivot", "m", "doc", "n", "vector", salts.alias("salts"),
@@ -385,20 +391,20 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rest = stage(rest, "partial")
     needed = needed.unionByName(rest.select("doc")).distinct()
     reps = _compressed(source.filter("doc_id IS NOT NULL"))
-    texts = stage(reps.join(needed, "doc", "left_semi"), "texts")
-    links = stage(verify(pairs, texts, size, limit), "links")
-    roots = stage(components(links), "roots")
-    for some in (*ROUNDS, None):  # a last round without a bound makes it exact
-        more = stage(_across(rest, roots, limit, some).join(pairs, ["a", "b"], "left_anti"), "pairs")
-        if not more.head(1):
-            if some:
+    # what is needed grows with the corpus: not to be broadcast at any size
+    wanted = reps.join(needed.hint("merge"), "doc", "left_semi")
+    with bucketed(wanted, "texts", "doc") as texts:
+        links = stage(verify(pairs, texts, size, limit), "links")
+        roots = stage(components(links), "roots")
+        for some in (*ROUNDS, None):  # a last round without a bound makes it exact
+            more = stage(_across(rest, roots, limit, some).join(pairs, ["a", "b"], "left_anti"), "pairs")
+            if not more.head(1):
                 continue
-            break
-        extra = stage(verify(more, texts, size, limit), "links")
-        pairs = pairs.unionByName(more)
-        if extra.head(1):
-            links = links.unionByName(extra)
-            roots = stage(components(links), "roots")
+            extra = stage(verify(more, texts, size, limit), "links")
+            pairs = pairs.unionByName(more)
+            if extra.head(1):
+                links = links.unionByName(extra)
+                roots = stage(components(links), "roots")
     keys = classes.select("class_id", "d1", "d2").dropDuplicates(["d1", "d2"])
     member = sets.join(keys, ["d1", "d2"], "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"),

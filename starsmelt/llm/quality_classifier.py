@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from starsmelt.llm.common import (
     byte_slices,
@@ -192,18 +193,24 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_
     return train([rows[k] for k in sorted(rows)], settings)
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
+          keep: tuple[str, ...] | None = None) -> DataFrame:
     """``doc_id, score`` for every row: the chance of label 1 by the text alone.
 
-    Null and empty texts have no features and get the score of the bias. There is no shuffle.
+    Null and empty texts have no features and get the score of the bias. There is no shuffle. With
+    ``keep``, the rows also have the text and the named columns, unchanged, before the score.
     """
+    plain = keep is None
+    source = id_and_text(docs, id_col, text_col) if plain else docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *keep)
+    fields = source.schema.fields[:1] if plain else source.schema.fields
+    schema = StructType([*fields, StructField("score", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = whole_bytes(batch.column("text"))
             found = [model.scores(texts[a:b]) for a, b in byte_slices(texts)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.concatenate(found) if found else [], pa.float64())],
-                names=["doc_id", "score"])
+            scores = pa.array(np.concatenate(found) if found else [], pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(fields)], scores], names=schema.names)
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double")
+    return source.mapInArrow(run, schema)

@@ -14,6 +14,7 @@ from starsmelt.llm import (
     quality_classifier,
     quality_rules,
     sharding,
+    suffix_dedup,
     token_counts,
 )
 from starsmelt.llm.common import read
@@ -30,6 +31,10 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.remove_repeats(read(spark, sf_dir, "documents")))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(decontamination.find_passages(
         read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")))
@@ -70,8 +75,8 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_pack, op3_decontaminate, op4_chat, op5_shards, op6_quality, op7_lines, op8_rules, op9_tokens,
-    op10_jaccard)}
+    op1_pack, op2_suffix_dedup, op3_decontaminate, op4_chat, op5_shards, op6_quality, op7_lines,
+    op8_rules, op9_tokens, op10_jaccard)}
 
 ORACLE_SQL = {
     "op3_decontaminate": decontamination.SQL,
