@@ -44,7 +44,7 @@ SMALL = 64
 #: Documents of a region, or a salt of it, that one task joins.
 REGION = 20_000
 #: Members of a region's largest component that the others meet, round by round.
-ROUNDS = (16,)
+ROUNDS = (16, 64)
 
 
 @dataclass(frozen=True)
@@ -71,6 +71,15 @@ class Threshold:
         """A symmetric difference of at least ``found`` leaves a link possible."""
         return (100 + self.percent) * found <= (100 - self.percent) * (a + b)
 
+    def places(self, a, at_a, b, at_b):
+        """Whether two sets can link whose first common pivot stands ``at_a`` and ``at_b``.
+
+        None of the pivots before is common, so the rest of each set bounds the intersection. Where
+        the pivot is not the first common one this may say no to a link; its own region does not.
+        """
+        rest = np.minimum(a - at_a, b - at_b)
+        return (100 + self.percent) * rest >= self.percent * (a + b)
+
 
 def _scan(source: DataFrame, each, schema: str) -> DataFrame:
     """``each(ids, texts)`` gives the columns for a slice of rows."""
@@ -162,7 +171,7 @@ def _apart(x: list[bytes], y: list[bytes]) -> np.ndarray:
     return out
 
 
-PAIRS = "kind int, a long, b long, n int, vector binary"
+PAIRS = "kind int, a long, b long, n int, at int, vector binary"
 _PAIR, _PARTIAL, _PIVOT = 0, 1, 2
 
 
@@ -174,59 +183,62 @@ class _Region:
         self.small = key[2] <= SMALL
         self.ids: list[int] = []
         self.raw: list[bytes] = []
-        self.n, self.v = np.empty(16, np.int64), np.empty((16, VECTOR), np.int32)
+        self.n, self.at = np.empty(16, np.int64), np.empty(16, np.int64)
+        self.v = np.empty((16, VECTOR), np.int32)
         self.out: list[tuple] = []
         self.partial = False
 
-    def near(self, n: int, raw: bytes, v: np.ndarray) -> list[int]:
-        """Which of the documents kept so far no size and no vector rules out."""
+    def near(self, n: int, place: int, raw: bytes, v: np.ndarray) -> list[int]:
+        """Which of the documents kept so far no size, place or vector rules out."""
         m = len(self.ids)
         if not m:
             return []
         coarse = np.abs(self.v[:m] - v).sum(axis=1) if raw else np.zeros(m, np.int64)
-        at = np.flatnonzero(self.limit.sizes(self.n[:m], n) & (
+        at = np.flatnonzero(self.limit.sizes(self.n[:m], n)
+                            & self.limit.places(self.n[:m], self.at[:m], n, place) & (
             self.limit.difference(self.n[:m], n, coarse) | np.array([not r for r in self.raw])))
         if len(at) and len(raw) > VECTOR:
             apart = _apart([self.raw[k] for k in at], [raw] * len(at))
             at = at[self.limit.difference(self.n[at], n, apart)]
         return at.tolist()
 
-    def keep(self, doc: int, n: int, raw: bytes, v: np.ndarray) -> None:
+    def keep(self, doc: int, n: int, place: int, raw: bytes, v: np.ndarray) -> None:
         at = len(self.ids)
         if at == len(self.n):
-            self.n, self.v = np.resize(self.n, 2 * at), np.resize(self.v, (2 * at, VECTOR))
-        self.n[at], self.v[at] = n, v
+            self.n, self.at = np.resize(self.n, 2 * at), np.resize(self.at, 2 * at)
+            self.v = np.resize(self.v, (2 * at, VECTOR))
+        self.n[at], self.at[at], self.v[at] = n, place, v
         self.ids.append(doc)
         self.raw.append(raw)
 
-    def add(self, doc: int, n: int, raw: bytes, v: np.ndarray) -> None:
-        near = self.near(n, raw, v)
+    def add(self, doc: int, n: int, place: int, raw: bytes, v: np.ndarray) -> None:
+        near = self.near(n, place, raw, v)
         if self.small:
-            self.out += [(_PAIR, self.ids[k], doc, None, None) for k in near]
-            self.keep(doc, n, raw, v)
+            self.out += [(_PAIR, self.ids[k], doc, None, None, None) for k in near]
+            self.keep(doc, n, place, raw, v)
         elif near:
-            self.out.append((_PAIR, self.ids[near[0]], doc, None, None))
+            self.out.append((_PAIR, self.ids[near[0]], doc, None, None, None))
             self.partial = True
         else:
-            self.keep(doc, n, raw, v)
+            self.keep(doc, n, place, raw, v)
 
     def close(self) -> list[tuple]:
         pivot, salts, m = self.key
         if self.small and len(self.out) > 4 * m:  # a dense group: pivots will do
             again = _Region((pivot, salts, SMALL + 1), self.limit)
             for k, doc in enumerate(self.ids):
-                again.add(doc, int(self.n[k]), self.raw[k], self.v[k])
+                again.add(doc, int(self.n[k]), int(self.at[k]), self.raw[k], self.v[k])
             self.out, self.partial = again.out, True
         if self.partial:
-            self.out.append((_PARTIAL, pivot, None, None, None))
+            self.out.append((_PARTIAL, pivot, None, None, None, None))
         if salts > 1:  # its pivots meet those of the other salts
-            self.out += [(_PIVOT, pivot, doc, int(self.n[k]), self.raw[k])
+            self.out += [(_PIVOT, pivot, doc, int(self.n[k]), int(self.at[k]), self.raw[k])
                          for k, doc in enumerate(self.ids)]
         return self.out
 
 
 def region_pairs(rows: DataFrame, limit: Threshold) -> DataFrame:
-    """Pairs, partial regions and pivots of salted regions, from ``pivot, m, salts, doc, n, vector``.
+    """Pairs, partial regions and pivots of salted regions, from ``pivot, m, salts, salt, doc, n, at, vector``.
 
     Rows come sorted by region, so a task holds one region at a time.
     """
@@ -235,19 +247,19 @@ def region_pairs(rows: DataFrame, limit: Threshold) -> DataFrame:
         now: _Region | None = None
         last = None
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("pivot", "salts", "salt", "m", "doc", "n")]
+            cols = [batch.column(c).to_pylist() for c in ("pivot", "salts", "salt", "m", "doc", "n", "at")]
             vectors = batch.column("vector").to_pylist()
             coarse = np.zeros((len(vectors), VECTOR), np.int32)
             for length in {len(v) for v in vectors} - {0}:
                 at = [k for k, v in enumerate(vectors) if len(v) == length]
                 coarse[at] = _folded([vectors[k] for k in at], VECTOR)
             out: list[tuple] = []
-            for k, (pivot, salts, salt, m, doc, n) in enumerate(zip(*cols)):
+            for k, (pivot, salts, salt, m, doc, n, place) in enumerate(zip(*cols)):
                 if (pivot, salt) != last:
                     if now:
                         out += now.close()
                     now, last = _Region((pivot, salts, m), limit), (pivot, salt)
-                now.add(doc, n, vectors[k], coarse[k])
+                now.add(doc, n, place, vectors[k], coarse[k])
             out += now.out if now and not now.small else []
             if now and not now.small:
                 now.out = []
@@ -256,14 +268,14 @@ def region_pairs(rows: DataFrame, limit: Threshold) -> DataFrame:
             yield _pair_batch(now.close())
 
     dealt = rows.repartition("pivot", "salt").sortWithinPartitions("pivot", "salt", "n", "doc")
-    return dealt.select("pivot", "salts", "salt", "m", "doc", "n", "vector").mapInArrow(run, PAIRS)
+    return dealt.select("pivot", "salts", "salt", "m", "doc", "n", "at", "vector").mapInArrow(run, PAIRS)
 
 
 def _pair_batch(rows: list[tuple]) -> pa.RecordBatch:
-    cols = list(zip(*rows)) if rows else [()] * 5
-    kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+    cols = list(zip(*rows)) if rows else [()] * 6
+    kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)],
-                                      names=["kind", "a", "b", "n", "vector"])
+                                      names=["kind", "a", "b", "n", "at", "vector"])
 
 
 def verify(pairs: DataFrame, texts: DataFrame, size: int, limit: Threshold) -> DataFrame:
@@ -312,7 +324,7 @@ def _compressed(source: DataFrame) -> DataFrame:
 def _across(rows: DataFrame, roots: DataFrame, limit: Threshold, some: int | None) -> DataFrame:
     """Passing pairs across components in the given regions, smaller components against all.
 
-    ``rows``: ``pivot, doc, n, vector`` of regions whose pairs were not all given. With ``some``,
+    ``rows``: ``pivot, doc, n, at, vector`` of regions whose pairs were not all given. With ``some``,
     only so many documents of a region's largest component stand for it: those first in an order
     by hash that is the same in all regions, so that regions agree on them.
     """
@@ -325,12 +337,14 @@ def _across(rows: DataFrame, roots: DataFrame, limit: Threshold, some: int | Non
     own = stage(own.join(largest, "pivot"), "across")
     few = own.filter("root <> top").select(
         "pivot", F.col("doc").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"),
-        F.col("vector").alias("va"))
+        F.col("at").alias("ata"), F.col("vector").alias("va"))
     if some:
         rank = F.row_number().over(Window.partitionBy("pivot").orderBy(F.xxhash64("doc"), "doc"))
         own = own.filter("root = top").withColumn("rank", rank).filter(F.col("rank") <= some)
-    met = own.join(few, "pivot").filter("root <> ra").filter(
-        (F.least("n", "na") * 100 >= F.greatest("n", "na") * limit.percent))
+    rest = F.least(F.col("n") - F.col("at"), F.col("na") - F.col("ata"))
+    met = own.join(few, "pivot").filter("root <> ra AND (root = top OR doc < a)").filter(
+        (F.least("n", "na") * 100 >= F.greatest("n", "na") * limit.percent)
+        & (rest * (100 + limit.percent) >= (F.col("n") + F.col("na")) * limit.percent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -362,7 +376,7 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.min("doc_id").alias("class_id"), F.first("n").alias("n"), F.first("window").alias("window"),
         F.first("vector").alias("vector"))
     classes = stage(copies, "classes")
-    spread = classes.select(F.explode("window").alias("pivot"), F.col("class_id").alias("doc"), "n")
+    spread = classes.select(F.posexplode("window").alias("at", "pivot"), F.col("class_id").alias("doc"), "n")
     shared = spread.groupBy("pivot").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
     vectors = classes.select(F.col("class_id").alias("doc"), "vector")
     # rows whose neighbours by size are too small and too large link with nothing in the region
@@ -374,12 +388,12 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         met.filter(F.col("m") <= REGION).withColumn("fits", fits).filter("fits").drop("fits")), "regions")
     salts = F.ceil(F.col("m") / REGION).cast("int")
     salted = rows.join(vectors, "doc").select(
-        "pivot", "m", "doc", "n", "vector", salts.alias("salts"),
+        "pivot", "m", "doc", "n", "at", "vector", salts.alias("salts"),
         F.pmod(F.xxhash64("doc"), salts).cast("int").alias("salt"))
     first = stage(region_pairs(salted, limit), "pairs")
     pivots = first.filter(F.col("kind") == _PIVOT)
     again = pivots.select(F.col("a").alias("pivot"), F.lit(REGION).cast("long").alias("m"),
-                          F.col("b").alias("doc"), "n", "vector", F.lit(1).alias("salts"),
+                          F.col("b").alias("doc"), "n", "at", "vector", F.lit(1).alias("salts"),
                           F.lit(0).alias("salt"))
     second = stage(region_pairs(again, limit), "pairs")
     both = first.unionByName(second)
@@ -387,7 +401,7 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
     needed = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
     partial = both.filter(F.col("kind") == _PARTIAL).select(F.col("a").alias("pivot")).distinct()
-    rest = rows.join(partial, "pivot").join(vectors, "doc").select("pivot", "doc", "n", "vector")
+    rest = rows.join(partial, "pivot").join(vectors, "doc").select("pivot", "doc", "n", "at", "vector")
     rest = stage(rest, "partial")
     needed = needed.unionByName(rest.select("doc")).distinct()
     reps = _compressed(source.filter("doc_id IS NOT NULL"))
