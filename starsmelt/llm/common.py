@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -39,6 +40,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
     _forget(spark, path)
+    release_memory()
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -80,6 +82,30 @@ def whole_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def release_memory() -> None:
+    """Give the system back what freed objects held."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def small_batches(batches: Iterator[pa.RecordBatch], column: str = "text",
+                  limit: int = 2 * SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in parts of about ``limit`` bytes of ``column``, without a copy.
+
+    A Python worker outlives its tasks, so it first gives back what the last one left.
+    """
+    release_memory()
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
+        part = (np.cumsum(sizes, dtype=np.int64) - sizes) // limit
+        edges = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [batch.num_rows]])
+        for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            if hi > lo:
+                yield batch.slice(lo, hi - lo)
+
+
 def byte_slices(texts: list[bytes], limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive texts of about ``limit`` bytes; every text is in exactly one."""
     first, size = 0, 0

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starsmelt.llm.common import byte_slices, id_and_text, ragged, whole_bytes
+from starsmelt.llm.common import byte_slices, id_and_text, ragged, small_batches, whole_bytes
 
 #: Words of a window.
 WINDOW = 13
@@ -206,7 +206,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     ``block_bytes`` (or one item), and documents are scanned once for each block, without a shuffle
     as long as there is one block.
     """
-    source = id_and_text(docs, id_col, text_col)
+    source = id_and_text(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
     queries = id_and_text(benchmark, item_col, text_col).filter("doc_id IS NOT NULL")
     spark = docs.sparkSession
     parts = []
@@ -214,22 +214,18 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         tables = spark.sparkContext.broadcast(found)
 
         def run(batches, tables=tables):
-            from pyspark import TaskContext
-
             engine = Decontaminator(tables.value) if tables.value else None
-            row = TaskContext.get().partitionId() << 40
-            for batch in batches:
+            for batch in small_batches(batches):
                 texts = whole_bytes(batch.column("text"))
                 rows = []
                 for a, b in byte_slices(texts):
                     rows += (engine.scan(texts[a:b]) if engine else
                              [(len(words_of(t)), [], [], []) for t in texts[a:b]])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array(range(row, row + len(rows)), pa.int64()),
+                    [batch.column("doc_id"), batch.column("row"),
                      pa.array([r[0] for r in rows], pa.int64()),
                      *[pa.array([r[k] for r in rows], pa.list_(pa.int64())) for k in (1, 2, 3)]],
                     names=["doc_id", "row", "n_words", "hit_from", "hit_to", "items"])
-                row += len(rows)
 
         parts.append(source.mapInArrow(run, HITS))
     merged = parts[0]

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from starsmelt.llm.common import id_and_text, whole_bytes
+from starsmelt.llm.common import id_and_text, small_batches, whole_bytes
 
 #: White space that is stripped from both ends of a line.
 BLANKS = b" \t\n\x0b\x0c\r"
@@ -39,7 +39,7 @@ def line_keys(docs: DataFrame, min_chars: int = 10) -> DataFrame:
     """``doc_id, k1, k2``: the distinct keys of each row's lines, short ones left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             ids, hashes = [], []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(),
                                     whole_bytes(batch.column("text"))):
@@ -95,7 +95,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               StructField("n_lines", LongType()), StructField("n_dropped", LongType())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             texts, lines, lost = [], [], []
             for text, drop in zip(whole_bytes(batch.column("text")), batch.column("drop").to_pylist()):
                 own = text.split(b"\n")

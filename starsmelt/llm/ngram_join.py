@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starsmelt.llm.common import bucketed, byte_slices, id_and_text, stage, whole_bytes
+from starsmelt.llm.common import bucketed, byte_slices, id_and_text, small_batches, stage, whole_bytes
 from starsmelt.llm.components import components
 from starsmelt.llm.shingles import shingle_sets, shingles
 
@@ -44,7 +44,7 @@ SMALL = 64
 #: Documents of a region, or a salt of it, that one task joins.
 REGION = 20_000
 #: Members of a region's largest component that the others meet, round by round.
-ROUNDS = (16, 64)
+ROUNDS = (32,)
 
 
 @dataclass(frozen=True)
@@ -85,7 +85,7 @@ def _scan(source: DataFrame, each, schema: str) -> DataFrame:
     """``each(ids, texts)`` gives the columns for a slice of rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             texts, ids = whole_bytes(batch.column("text")), batch.column("doc_id").to_pylist()
             for a, b in byte_slices(texts):
                 yield from each(ids[a:b], texts[a:b])
@@ -102,7 +102,7 @@ def crowding(source: DataFrame, size: int) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SKETCH, np.int64)
-        for batch in batches:
+        for batch in small_batches(batches):
             texts = whole_bytes(batch.column("text"))
             for a, b in byte_slices(texts):
                 found = np.concatenate(shingles(texts[a:b], size))
@@ -284,7 +284,7 @@ def verify(pairs: DataFrame, texts: DataFrame, size: int, limit: Threshold) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plain = zstandard.ZstdDecompressor()
         known: dict[int, np.ndarray] = {}
-        for batch in batches:
+        for batch in small_batches(batches, "blob_a"):
             a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
             blobs = dict(zip(a, batch.column("blob_a").to_pylist())) | dict(
                 zip(b, batch.column("blob_b").to_pylist()))

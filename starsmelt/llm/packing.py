@@ -26,11 +26,12 @@ from starsmelt.llm.common import (
     id_and_text,
     ragged,
     stage,
+    small_batches,
     whole_bytes,
 )
 
 #: Distinct chunks whose ids a Python worker remembers.
-CACHE_CHUNKS = 200_000
+CACHE_CHUNKS = 120_000
 #: ``part`` and ``nth`` number the pieces of one length within the task that made them.
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part long, nth long")
 PLACES = "sequence_id long, offset long"
@@ -157,7 +158,7 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, end_id: int = 1, size: in
         words = encoder(tokenizer_file)
         part = TaskContext.get().partitionId()
         seen = np.zeros(size + 1, np.int64)
-        for batch in batches:
+        for batch in small_batches(batches):
             texts = whole_bytes(batch.column("text"))
             doc_ids = batch.column("doc_id").to_pylist()
             out: list[tuple] = []

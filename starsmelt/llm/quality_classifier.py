@@ -25,6 +25,7 @@ from starsmelt.llm.common import (
     id_and_text,
     ragged,
     range_sums,
+    small_batches,
     whole_bytes,
 )
 
@@ -34,12 +35,16 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample`` bounds the labelled texts that are fitted; labels beyond it are not read."""
+    """``sample`` bounds the labelled texts that are fitted; labels beyond it are not read.
 
-    sample: int = 4000
+    Few labels are gone through more than ``epochs`` times, for ``least_steps`` steps in all.
+    """
+
+    sample: int = 2000
     buckets_log2: int = 16
     dimensions: int = 8
     epochs: int = 6
+    least_steps: int = 4000
     rate: float = 20.0
     seed: int = 7
 
@@ -132,8 +137,9 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], settings: Settings) ->
     size = 1 << settings.buckets_log2
     vectors = rng.uniform(-1, 1, (size, settings.dimensions)) / settings.dimensions
     out, bias = np.zeros((2, settings.dimensions)), np.zeros(2)
-    steps, done = max(1, settings.epochs * len(rows)), 0
-    for _ in range(settings.epochs):
+    epochs = max(settings.epochs, -(-settings.least_steps // max(1, len(rows))))
+    steps, done = max(1, epochs * len(rows)), 0
+    for _ in range(epochs if rows else 0):
         for k in rng.permutation(len(rows)):
             buckets, counts, label = rows[k]
             share = counts / max(1.0, counts.sum())
@@ -173,7 +179,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_
     bits = settings.buckets_log2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             texts = whole_bytes(batch.column("text"))
             ids, given = batch.column("doc_id").to_pylist(), batch.column("label").to_pylist()
             for a, b in byte_slices(texts):
@@ -187,10 +193,11 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_
     # the sample has a bound, so it may be broadcast to the texts
     sample = id_and_text(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id").mapInArrow(
         run, "doc_id long, label int, buckets binary, counts binary")
-    rows = {r["doc_id"]: (np.frombuffer(r["buckets"], np.int32),
-                          np.frombuffer(r["counts"], np.float32).astype(np.float64), r["label"])
-            for r in sample.toLocalIterator()}
-    return train([rows[k] for k in sorted(rows)], settings)
+    found = sample.toArrow().sort_by("doc_id")
+    rows = [(np.frombuffer(buckets.as_buffer(), np.int32), np.frombuffer(counts.as_buffer(), np.float32),
+             label) for buckets, counts, label in zip(
+                 found["buckets"], found["counts"], found["label"].to_pylist())]
+    return train(rows, settings)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
@@ -207,7 +214,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     schema = StructType([*fields, StructField("score", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             texts = whole_bytes(batch.column("text"))
             found = [model.scores(texts[a:b]) for a, b in byte_slices(texts)]
             scores = pa.array(np.concatenate(found) if found else [], pa.float64())

@@ -10,7 +10,8 @@ anchor in one block:
 * the windows of a block are sorted, and the bytes before them are its Burrows-Wheeler transform,
   kept as runs; equal passages only make runs longer, so they are one entry with a weight;
 * at the run ends the longest match with the neighbour is measured by comparing bytes;
-* elsewhere it is streamed along the passage: one byte on, a match is one byte shorter.
+* elsewhere it is streamed along the passage: one byte on, a match is one byte shorter. Where that
+  falls below the length that counts, bytes are compared again.
 
 A window whose matching statistic reaches ``length``, or of a passage with more than one
 occurrence, starts at another place too.
@@ -27,7 +28,15 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starsmelt.llm.common import bucketed, byte_slices, id_and_text, ragged, stage, whole_bytes
+from starsmelt.llm.common import (
+    bucketed,
+    byte_slices,
+    id_and_text,
+    ragged,
+    small_batches,
+    stage,
+    whole_bytes,
+)
 
 LENGTH = 200
 GRAM = 64
@@ -170,6 +179,9 @@ class RunLengthIndex:
         lcp[near] = self._common(near, order[rank[near] - 1])
         last = np.maximum.accumulate(np.where(inner, 0, np.arange(n)))
         lcp = np.maximum(lcp[last] - (np.arange(n) - last), 0)
+        # windows are sorted by `length` bytes only, so a shorter streamed match may be too short
+        short = np.flatnonzero(inner & (lcp < self.length))
+        lcp[short] = self._common(short, order[rank[short] - 1])
         after = np.append(lcp[order][1:], 0)
         return np.maximum(lcp, after[rank])
 
@@ -195,7 +207,7 @@ def _anchors(source: DataFrame, length: int, gram: int) -> DataFrame:
     """One row for each text, with the distinct anchor hashes and what a whole text needs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             texts, ids = whole_bytes(batch.column("text")), batch.column("doc_id").to_pylist()
             for a, b in byte_slices(texts):
                 text, _, _, hashes = passages(texts[a:b], length, gram)
@@ -213,7 +225,7 @@ def _anchors(source: DataFrame, length: int, gram: int) -> DataFrame:
 
 def _blobs(source: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             pack = zstandard.ZstdCompressor(level=1)
             texts, ids = whole_bytes(batch.column("text")), batch.column("doc_id").to_pylist()
             yield pa.RecordBatch.from_arrays(
@@ -231,7 +243,7 @@ def _cut(texts: DataFrame, length: int, gram: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plain = zstandard.ZstdDecompressor()
-        for batch in batches:
+        for batch in small_batches(batches, "blob"):
             keys, blobs = batch.column("row_key").to_pylist(), batch.column("blob").to_pylist()
             wanted = batch.column("wanted")
             rows: dict[tuple, list] = {}
@@ -332,7 +344,7 @@ def _removed(texts: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plain = zstandard.ZstdDecompressor()
-        for batch in batches:
+        for batch in small_batches(batches, "blob"):
             spans, removed, kept = [], [], []
             for blob, found in zip(batch.column("blob").to_pylist(), batch.column("found").to_pylist()):
                 text = plain.decompress(blob)

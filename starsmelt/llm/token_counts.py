@@ -18,7 +18,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starsmelt.llm.common import byte_slices, chunk_codes, id_and_text, range_sums, whole_bytes
+from starsmelt.llm.common import byte_slices, chunk_codes, id_and_text, range_sums, small_batches, whole_bytes
 
 SPACE = "▁"
 #: Distinct chunks whose counts a Python worker remembers.
@@ -131,7 +131,7 @@ def count_tokens(docs: DataFrame, model_file: str, id_col: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = merger(model_file)
-        for batch in batches:
+        for batch in small_batches(batches):
             texts = whole_bytes(batch.column("text"))
             found = [counter.counts(texts[a:b]) for a, b in byte_slices(texts, SLICE_BYTES)]
             yield pa.RecordBatch.from_arrays(
