@@ -44,7 +44,7 @@ SMALL = 64
 #: Documents of a region, or a salt of it, that one task joins.
 REGION = 20_000
 #: Members of a region's largest component that the others meet, round by round.
-ROUNDS = (32,)
+ROUNDS = (16, 64)
 
 
 @dataclass(frozen=True)
