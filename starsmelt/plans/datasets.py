@@ -265,5 +265,7 @@ def targets(param: str) -> list[str]:
 
 
 def apply_to_all(tables: Tables, params: Params) -> dict[str, DataFrame]:
-    """One selection over every dataset that accepts at least one of the filters."""
-    return {name: run(name, tables, params) for name, dataset in DATASETS.items() if dataset.accepts}
+    """One selection over every dataset that accepts at least one of the filters that are set."""
+    given = {name for name, value in vars(params).items() if value is not None}
+    return {name: run(name, tables, params) for name, dataset in DATASETS.items()
+            if given & dataset.accepts}

@@ -7,7 +7,14 @@ from starsmelt.sources.pages import (
     read_pages,
     require_pages,
 )
-from starsmelt.sources.parquet import NoRecords, read_parquet, require_rows, write_parquet
+from starsmelt.sources.parquet import (
+    NoRecords,
+    SchemaMismatch,
+    read_parquet,
+    require_columns,
+    require_rows,
+    write_parquet,
+)
 from starsmelt.sources.stage import Stage, shared_folder
 from starsmelt.sources.tables import (
     Layout,
@@ -21,8 +28,9 @@ from starsmelt.sources.tables import (
 )
 
 __all__ = [
-    "Layout", "NoRecords", "PagesMissing", "RowCountMismatch", "Stage", "create_schema",
+    "Layout", "NoRecords", "PagesMissing", "RowCountMismatch", "SchemaMismatch",
+    "Stage", "create_schema",
     "encode_nested", "land_pages", "load_table", "read_pages", "read_parquet", "read_table",
-    "require_pages", "require_rows", "row_count_check", "shared_folder", "write_parquet",
+    "require_columns", "require_pages", "require_rows", "row_count_check", "shared_folder", "write_parquet",
     "write_table", "write_tables",
 ]

@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 class NoRecords(ValueError):
     """An extract that must have records has none."""
 
 
+class SchemaMismatch(ValueError):
+    """A dataset lacks a column, or has it in another type."""
+
+
 def write_parquet(df: DataFrame, path: str) -> None:
     """Replace the dataset at ``path``."""
     df.write.mode("overwrite").parquet(path)
@@ -25,3 +30,11 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
     if df.isEmpty():
         raise NoRecords(f"no records in {what}")
     return df
+
+
+def require_columns(spark: SparkSession, path: str, schema: str) -> None:
+    """Stop unless the files at ``path`` have every column of ``schema`` in its type."""
+    found = {field.name: field.dataType for field in spark.read.parquet(path).schema}
+    wrong = [field.name for field in StructType.fromDDL(schema) if found.get(field.name) != field.dataType]
+    if wrong:
+        raise SchemaMismatch(f"{path}: absent or of another type: {', '.join(wrong)}")

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starsmelt.sources.parquet import require_columns, require_rows
+
 
 class RowCountMismatch(ValueError):
     """A table does not hold the rows it was loaded from."""
@@ -89,8 +91,10 @@ def load_table(
 ) -> int:
     """Replace a table with a staged Parquet dataset and verify the count.
 
-    A missing path or a mismatch raises, so a later step never runs on half a load.
+    A missing path, a column that is absent or of another type, and a dataset without rows raise
+    before the table is touched. A wrong count raises too, so a later step never runs on half a load.
     """
-    source = spark.read.schema(schema).parquet(path)
+    require_columns(spark, path, schema)
+    source = require_rows(spark.read.schema(schema).parquet(path), path)
     write_table(source, table, path=table_path)
     return row_count_check(spark, table, source.count())

@@ -205,6 +205,9 @@ def test_one_selection_over_all_datasets(tables):
     selected = apply_to_all(tables, EVERYTHING)
     assert len(selected) == 11
     assert rows(selected["kpi"]) == [(1, 4.5, 10.0, 50.0)]
+    assert list(apply_to_all(tables, Params(category="Puzzle"))) == targets("category")
+    assert list(apply_to_all(tables, Params(date_from="2000-01-01"))) == targets("date_from")
+    assert not apply_to_all(tables, Params())
 
 
 @pytest.mark.parametrize("name", list(FEEDS))

@@ -13,6 +13,7 @@ from starsmelt.sources import (
     NoRecords,
     PagesMissing,
     RowCountMismatch,
+    SchemaMismatch,
     Stage,
     create_schema,
     land_pages,
@@ -102,6 +103,14 @@ def test_table_is_replaced_and_verified(spark, tmp_path):
         row_count_check(spark, "t_tables.items", 6)
     with pytest.raises(AnalysisException):
         load_table(spark, str(tmp_path / "missing"), "t_tables.items", BRONZE_SCHEMA)
+    lacking, bare = str(tmp_path / "lacking"), str(tmp_path / "bare")
+    write_parquet(spark.read.parquet(source).drop("genres"), lacking)
+    write_parquet(spark.read.parquet(source).limit(0), bare)
+    with pytest.raises(SchemaMismatch, match="genres"):
+        load_table(spark, lacking, "t_tables.items", BRONZE_SCHEMA)
+    with pytest.raises(NoRecords):
+        load_table(spark, bare, "t_tables.items", BRONZE_SCHEMA)
+    assert spark.table("t_tables.items").count() == 5
 
 
 def test_buckets_are_one_file_each(spark, tmp_path):
