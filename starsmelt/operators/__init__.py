@@ -1,6 +1,6 @@
 """Operators: DataFrame in, DataFrame out."""
 
-from starsmelt.operators.joins import denormalise, fits_broadcast
+from starsmelt.operators.joins import denormalise
 from starsmelt.operators.nested import (
     explode_bridge,
     explode_dimension,
@@ -16,10 +16,10 @@ from starsmelt.operators.quality import (
     duplicate_keys,
     null_tokens_to_null,
 )
-from starsmelt.operators.ranking import distinct_top, weighted_median
+from starsmelt.operators.ranking import distinct_top
 
 __all__ = [
     "date_rejects", "dedupe", "dedupe_by_key", "dedupe_report", "denormalise", "dim_key_unique",
-    "distinct_top", "duplicate_keys", "explode_bridge", "explode_dimension", "fits_broadcast",
-    "null_tokens_to_null", "parse_json_columns", "struct_dimension", "weighted_median",
+    "distinct_top", "duplicate_keys", "explode_bridge", "explode_dimension",
+    "null_tokens_to_null", "parse_json_columns", "struct_dimension",
 ]

@@ -3,25 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# A hash table of this many keys is a few hundred MB in each executor.
-BROADCAST_ROWS = 4_000_000
-BROADCAST_BYTES = 128 * 1024 * 1024
-
-
-def fits_broadcast(
-    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
-) -> bool:
-    """Whether a narrow frame may be broadcast, from a count of its rows and bytes.
-
-    One aggregate over the frame; only its two numbers reach the driver.
-    """
-    width = F.lit(0)
-    for name in df.columns:
-        width = width + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)) + 8
-    size = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).first()
-    return size["rows"] <= max_rows and (size["bytes"] or 0) <= max_bytes
 
 
 def denormalise(rows: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None) -> DataFrame:

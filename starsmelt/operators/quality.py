@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starsmelt.functions import null_token_to_null
-from starsmelt.operators.joins import fits_broadcast
 from starsmelt.schemas import NULL_TOKENS
 from starsmelt.sources.stage import Stage
 
@@ -61,28 +62,37 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
 
 
+def mark_repeats(df: DataFrame, keys: Sequence[str], repeated: DataFrame) -> DataFrame:
+    """``df`` with ``_copies``: ``all`` where the key is among ``repeated``, else ``one``.
+
+    One pass over the wide rows. No hint: ``repeated`` is staged, so Spark knows its size, broadcasts
+    it below ``spark.sql.autoBroadcastJoinThreshold`` and splits hot keys of a sorted join beyond.
+    """
+    marks = repeated.select(*[F.col(key).alias(f"_dup_{key}") for key in keys], F.lit(True).alias("_dup"))
+    match = reduce(and_, [F.col(key).eqNullSafe(F.col(f"_dup_{key}")) for key in keys])
+    copies = F.when(F.col("_dup"), F.lit("all")).otherwise(F.lit("one")).alias("_copies")
+    return df.join(marks, match, "left").select(*[F.col(name) for name in df.columns], copies)
+
+
 def dedupe(
     df: DataFrame, keys: Sequence[str], stage: Stage, order_by: Sequence[str] | None = None
 ) -> DataFrame:
-    """Same rows as :func:`dedupe_by_key`, without moving rows whose key is unique.
+    """Same rows as :func:`dedupe_by_key`, staged, ranking only rows whose key repeats.
 
-    Wide records are dear to shuffle and few are duplicates. The repeated keys are found from the
-    key columns alone and staged. None: the input is returned. Few enough to broadcast, by a check
-    of their size: only rows with such a key are shuffled and ranked. Too many: everything is.
+    Wide records are dear to sort and few are duplicates. The repeated keys are found from the key
+    columns alone. One pass over the wide rows then stages those with a unique key apart from the
+    others, and only the others are ranked. The steps are the same at every size.
     """
     repeated = stage.put(duplicate_keys(df, keys).select(*keys), "duplicate_keys")
-    if repeated.isEmpty():
-        return df
-    if not fits_broadcast(repeated):
-        return dedupe_by_key(df, keys, order_by)
-    marks = F.broadcast(repeated.select(*[F.col(key).alias(f"_dup_{key}") for key in keys]))
-    match = None
-    for key in keys:
-        same = F.col(key).eqNullSafe(F.col(f"_dup_{key}"))
-        match = same if match is None else match & same
-    unique = df.join(marks, match, "left_anti")
-    copies = df.join(marks, match, "left_semi")
-    return unique.unionByName(dedupe_by_key(copies, keys, order_by))
+    path = stage.path("unique")
+    mark_repeats(df, keys, repeated).write.partitionBy("_copies").parquet(path)
+
+    def staged(kind: str) -> DataFrame:
+        schema = T.StructType([*df.schema.fields, T.StructField("_copies", T.StringType())])
+        return df.sparkSession.read.schema(schema).parquet(path).filter(kind).select(*df.columns)
+
+    dedupe_by_key(staged("_copies = 'all'"), keys, order_by).write.parquet(f"{path}/_copies=first")
+    return staged("_copies <> 'all'")
 
 
 def dedupe_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:

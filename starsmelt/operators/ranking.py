@@ -7,39 +7,21 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def weighted_median(histogram: DataFrame, value: str, weight: str, out: str) -> DataFrame:
-    """Add ``out``: the smallest value at which the running weight reaches half of the total.
-
-    ``histogram`` has one row per distinct value, NULL weighing nothing. The running total is the
-    one step that sorts in a single task, and it sees distinct values only.
-    """
-    counts = F.when(F.col(value).isNotNull(), F.col(weight)).otherwise(F.lit(0))
-    ordered = Window.orderBy(F.col(value).asc_nulls_last())
-    upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return (
-        histogram.withColumn("_upto", F.sum(counts).over(upto))
-        .withColumn("_whole", F.sum(counts).over(whole))
-        .withColumn(out, F.min(F.when(F.col("_upto") * 2 >= F.col("_whole"), F.col(value))).over(whole))
-        .drop("_upto", "_whole")
-    )
+# Groups over which equal rows are spread; each task sends at most ``size`` distinct rows to each.
+GROUPS = 32
 
 
 def distinct_top(
-    df: DataFrame, lead: Sequence[str], order: Sequence[Column], size: int
+    df: DataFrame, columns: Sequence[str], order: Sequence[Column], size: int, spread_by: str
 ) -> DataFrame:
-    """The first ``size`` distinct rows by ``order``, which starts with ``lead`` descending.
+    """The first ``size`` distinct rows of ``columns`` by ``order``, a total order over them.
 
-    Removing duplicates from everything first would shuffle every row. But ``size`` distinct
-    leading values hold at least ``size`` distinct rows, so no row below the last of those values
-    can be in the result. That bound needs the leading columns only and is exact; duplicates are
-    then removed from the few rows at or above it.
+    Rows fall into groups by the hash of ``spread_by``, so copies of one row are spread too. Within
+    a group only rows up to the ``size``-th distinct one can be in the result. Spark applies that
+    limit within every task before the shuffle (``WindowGroupLimit``) and again after it; what is
+    left is made distinct, map-side first.
     """
-    lead_value = F.struct(*lead)
-    bound = (
-        df.select(*lead).distinct()
-        .orderBy(*[F.desc(name) for name in lead]).limit(size)
-        .agg(F.min(lead_value))
-    )
-    return df.filter(lead_value >= bound.scalar()).distinct().orderBy(*order).limit(size)
+    grouped = df.select(*columns, F.pmod(F.xxhash64(spread_by), F.lit(GROUPS)).alias("_group"))
+    place = F.dense_rank().over(Window.partitionBy("_group").orderBy(*order))
+    kept = grouped.withColumn("_place", place).filter(F.col("_place") <= size)
+    return kept.select(*columns).distinct().orderBy(*order).limit(size)

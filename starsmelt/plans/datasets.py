@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from starsmelt.functions import stable_round
 from starsmelt.operators.filters import ALL_FILTERS, NOT_RATED, Params, apply_filters
-from starsmelt.operators.ranking import distinct_top, weighted_median
+from starsmelt.operators.ranking import distinct_top
 
 Tables = Mapping[str, DataFrame]
 
@@ -74,23 +74,13 @@ def opt_content_ratings(tables, params):
 
 @_dataset("kpi", ALL_FILTERS)
 def kpi(tables, params):
-    """One row. The rows collapse per hour value first, so the exact median needs no sketch."""
-    hours = (
-        _fact(tables, params, "kpi").filter("release_year IS NOT NULL")
-        .groupBy("usage_hrs").agg(
-            F.count(F.lit(1)).alias("items"),
-            F.sum("rating").alias("rating_sum"),
-            F.count("rating").alias("rating_rows"),
-            F.sum("ratings_count").alias("count_sum"),
-            F.count("ratings_count").alias("count_rows"),
-        )
-    )
-    return weighted_median(hours, "usage_hrs", "items", "median").agg(
-        F.coalesce(F.sum("items"), F.lit(0)).alias("total_items"),
-        stable_round(F.try_divide(F.sum("rating_sum"), F.sum("rating_rows")), 2).alias("avg_rating"),
-        F.round(F.min("median").cast("double"), 1).alias("median_usage_hrs"),
-        stable_round(F.try_divide(F.sum("count_sum"), F.sum("count_rows")), 0)
-        .alias("avg_ratings_count"),
+    """One row, one pass. The exact lower median keeps a count per distinct whole hour in each task."""
+    median = F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY usage_hrs)")
+    return _fact(tables, params, "kpi").filter("release_year IS NOT NULL").agg(
+        F.count(F.lit(1)).alias("total_items"),
+        stable_round(F.avg("rating"), 2).alias("avg_rating"),
+        F.round(median.cast("double"), 1).alias("median_usage_hrs"),
+        stable_round(F.avg("ratings_count"), 0).alias("avg_ratings_count"),
     )
 
 
@@ -189,13 +179,13 @@ def top_items(tables, params):
     rated = (
         _fact(tables, params, "top_items")
         .filter((F.col("ratings_count") >= MIN_RATINGS) & F.col("rating").isNotNull())
-        .select("item_name", "released", "rating", "ratings_count", "usage_hrs", "content_rating")
     )
+    shown = ["item_name", "released", "rating", "ratings_count", "usage_hrs", "content_rating"]
     order = [
         F.desc("rating"), F.desc("ratings_count"), F.asc("item_name"), F.asc("released"),
         F.asc("usage_hrs"), F.asc("content_rating"),
     ]
-    return distinct_top(rated, ["rating", "ratings_count"], order, TOP_ITEMS).select(
+    return distinct_top(rated, shown, order, TOP_ITEMS, spread_by="item_id").select(
         "item_name",
         F.col("released").cast("string").alias("released"),
         stable_round(F.col("rating"), 2).alias("rating"),

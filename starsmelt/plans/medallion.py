@@ -17,6 +17,7 @@ from starsmelt.operators.quality import (
 from starsmelt.plans.gold import GOLD_TABLES, build_gold, gold_layout
 from starsmelt.plans.silver import DIMENSION_KEYS, SILVER_TABLES, build_silver, silver_layout
 from starsmelt.schemas import BRONZE_FIELDS, BRONZE_SCHEMA
+from starsmelt.sources.folders import same_folder
 from starsmelt.sources.pages import read_pages, require_pages
 from starsmelt.sources.parquet import NoRecords
 from starsmelt.sources.stage import Stage
@@ -28,17 +29,14 @@ from starsmelt.sources.tables import (
     write_tables,
 )
 
-ROWS_PER_BUCKET = 2_000_000
-MIN_ROWS_PER_BUCKET = 20_000
-
-
 @dataclass(frozen=True)
 class Target:
     """Where the layers live. With ``location`` every table is a folder below it, so that another
     application can read them without sharing the catalog; else the tables are managed.
 
     ``buckets`` None sizes the buckets by the row count of bronze: as many as keep a bucket within
-    ``ROWS_PER_BUCKET`` items, and on small data enough to occupy the cores. 0 writes plain tables.
+    ``rows_per_bucket`` items, and on small data one per core while each has
+    ``min_rows_per_bucket``. 0 writes plain tables. Buckets are layout only: rows do not depend on it.
     """
 
     bronze: str = "bronze"
@@ -46,6 +44,8 @@ class Target:
     gold: str = "gold"
     location: str | None = None
     buckets: int | None = None
+    rows_per_bucket: int = 2_000_000
+    min_rows_per_bucket: int = 20_000
 
     def table(self, layer: str, name: str) -> str:
         schema = {"bronze": self.bronze, "silver": self.silver, "gold": self.gold}[layer]
@@ -62,12 +62,16 @@ class Target:
     def buckets_for(self, rows: int, cores: int) -> int:
         if self.buckets is not None:
             return self.buckets
-        busy = min(cores, -(-rows // MIN_ROWS_PER_BUCKET))
-        return max(1, busy, -(-rows // ROWS_PER_BUCKET))
+        busy = min(cores, -(-rows // self.min_rows_per_bucket))
+        return max(1, busy, -(-rows // self.rows_per_bucket))
 
 
 class MedallionTables(Mapping):
-    """The written tables as ``"layer.table"`` -> DataFrame, for the datasets."""
+    """The written tables as ``"layer.table"`` -> DataFrame, for the datasets.
+
+    A target with a location means its folders: a catalog table of the same name that lies elsewhere
+    is not read, and a missing folder raises. Iteration gives silver and gold; bronze can be read too.
+    """
 
     def __init__(self, spark: SparkSession, target: Target = Target()):
         self.spark, self.target = spark, target
@@ -75,10 +79,17 @@ class MedallionTables(Mapping):
     def __getitem__(self, name: str) -> DataFrame:
         layer, table = name.split(".")
         full_name = self.target.table(layer, table)
-        if self.target.location and not self.spark.catalog.tableExists(full_name):
-            return self.spark.read.parquet(self.target.path(layer, table))
+        path = self.target.path(layer, table)
+        if path and not self._lies_in(full_name, path):
+            return self.spark.read.parquet(path)
         return self.spark.table(full_name)
 
+    def _lies_in(self, full_name: str, path: str) -> bool:
+        if not self.spark.catalog.tableExists(full_name):
+            return False
+        about = self.spark.sql(f"DESCRIBE TABLE EXTENDED {full_name}")
+        return same_folder(self.spark, about.filter("col_name = 'Location'").first()["data_type"], path)
+
     def __iter__(self) -> Iterator[str]:
         yield from (f"silver.{name}" for name in SILVER_TABLES)
         yield from (f"gold.{name}" for name in GOLD_TABLES)
@@ -98,7 +109,7 @@ def load_bronze(
 
     ``source`` holds landed pages or, with ``source_format`` ``"parquet"``, staged records. Pages go
     to the table in one pass: pages and rows are counted while they are written, and a wrong count
-    raises then, before silver is touched.
+    raises before the old table is replaced.
     """
     table, path = target.table("bronze", "items"), target.path("bronze", "items")
     if source_format == "parquet":
@@ -106,11 +117,15 @@ def load_bronze(
     else:
         pages_seen, rows_seen = Observation(), Observation()
         records = read_pages(spark, source, BRONZE_FIELDS, pages_seen)
-        write_table(records.observe(rows_seen, F.count(F.lit(1)).alias("rows")), table, path=path)
-        require_pages(pages_seen, expected_pages, source)
-        rows = row_count_check(spark, table, rows_seen.get["rows"])
-    if rows == 0:
-        raise NoRecords(f"no records in {source}")
+
+        def verify(fresh: str) -> None:
+            require_pages(pages_seen, expected_pages, source)
+            if row_count_check(spark, fresh, rows_seen.get["rows"]) == 0:
+                raise NoRecords(f"no records in {source}")
+
+        counted = records.observe(rows_seen, F.count(F.lit(1)).alias("rows"))
+        write_table(counted, table, path=path, verify=verify)
+        rows = rows_seen.get["rows"]
     return rows
 
 
@@ -140,9 +155,8 @@ def quality_report(tables: MedallionTables) -> DataFrame:
 
     Bronze is read for its key and date columns only.
     """
-    spark, target = tables.spark, tables.target
     bronze = null_tokens_to_null(
-        spark.table(target.table("bronze", "items")).select("id", "released"))
+        tables["bronze.items"].select("id", "released"))
     counts = dedupe_report(bronze, ["id"]).unpivot(
         [], ["total_rows", "distinct_keys", "removed_rows"], "check", "found")
     rejects = date_rejects(bronze, "released").unpivot([], ["date_rejects"], "check", "found")
@@ -166,6 +180,7 @@ def run_medallion(
     target.create(spark)
     rows = load_bronze(spark, source, target, source_format, expected_pages)
     buckets = target.buckets_for(rows, spark.sparkContext.defaultParallelism)
-    refine_silver(spark, target, Stage(spark), buckets)
+    with Stage(spark) as stage:
+        refine_silver(spark, target, stage, buckets)
     refine_gold(spark, target, buckets)
     return MedallionTables(spark, target)

@@ -57,12 +57,13 @@ def parsed_items(bronze: DataFrame, stage: Stage) -> DataFrame:
     tables see the same survivor of each duplicate key.
     """
     used = bronze.drop(*OPAQUE_FIELDS)
-    unique = dedupe(null_tokens_to_null(used), ["id"], stage)
-    return stage.put(parse_json_columns(unique, DECODED_COLUMNS), "items_parsed")
+    decoded = parse_json_columns(null_tokens_to_null(used), DECODED_COLUMNS)
+    return dedupe(decoded, ["id"], stage)
 
 
 def fact_items(parsed: DataFrame) -> DataFrame:
     """One row per item. Text that is no date becomes NULL; ``date_rejects`` counts such rows."""
+    # Members of the status object.
     status = ("yet", "owned", "beaten", "toplay", "dropped", "playing")
     return parsed.select(
         F.col("id").alias("item_id"),

@@ -11,6 +11,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starsmelt.sources.folders import remove
+
 _LOCAL_FOLDERS: dict[str, str] = {}
 
 
@@ -28,12 +30,18 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 class Stage:
-    """A fresh folder for the staged results of one run."""
+    """A fresh folder for the staged results of one run; as a context, removed at the end of it."""
 
     def __init__(self, spark: SparkSession, folder: str | None = None):
         self.spark = spark
         self.folder = folder or f"{shared_folder(spark)}/starsmelt-{uuid.uuid4().hex}"
 
+    def __enter__(self) -> Stage:
+        return self
+
+    def __exit__(self, *failure) -> None:
+        remove(self.spark, self.folder)
+
     def path(self, name: str) -> str:
         """A folder of its own for each call, so nothing staged is ever overwritten."""
         return f"{self.folder}/{name}-{uuid.uuid4().hex[:8]}"

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import uuid
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from threading import Event
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starsmelt.sources import folders
 from starsmelt.sources.parquet import require_columns, require_rows
 
 
@@ -34,24 +37,74 @@ def create_schema(spark: SparkSession, name: str, location: str | None = None) -
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{name}`{clause}")
 
 
-def write_table(
-    df: DataFrame, table: str, layout: Layout = Layout(), path: str | None = None
-) -> None:
-    """Replace a Parquet table, managed or, with ``path``, kept in that folder.
-
-    A table with a path is replaced even when this catalog does not know it yet. With buckets the
-    rows are first shuffled on the key, so that each bucket is one file instead of one file per
-    task. Only narrow tables with a key of bounded frequency are laid out like that.
-    """
+def _stage_table(
+    df: DataFrame, table: str, layout: Layout, path: str | None,
+    verify: Callable[[str], None] | None,
+) -> str:
+    """Write ``df`` as a fresh table beside ``table`` and verify it; a failure leaves nothing."""
+    run = uuid.uuid4().hex[:8]
+    fresh, folder = f"{table}__{run}", f"{path}__{run}" if path else None
     if layout.buckets and layout.key:
         writer = df.repartition(layout.buckets, layout.key).write.bucketBy(layout.buckets, layout.key)
         if layout.sort:
             writer = writer.sortBy(*layout.sort)
     else:
         writer = df.write
+    if folder:
+        writer = writer.option("path", folder)
+    try:
+        writer.format("parquet").saveAsTable(fresh)
+        if verify:
+            verify(fresh)
+    except BaseException:
+        _discard(df.sparkSession, fresh, folder)
+        raise
+    return fresh
+
+
+def _discard(spark: SparkSession, table: str, folder: str | None) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    if folder:
+        folders.remove(spark, folder)
+
+
+def _publish(spark: SparkSession, fresh: str, table: str, path: str | None) -> None:
+    """Give a written table its name and folder. The one it replaces is dropped last."""
+    run = fresh.rsplit("__", 1)[1]
+    retired, old_folder = f"{table}__old_{run}", f"{path}__old_{run}" if path else None
+    known = spark.catalog.tableExists(table)
+    if known:
+        spark.sql(f"ALTER TABLE {table} RENAME TO {retired}")
+    if path:
+        if folders.exists(spark, path):
+            folders.move(spark, path, old_folder)
+        folders.move(spark, f"{path}__{run}", path)
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
     if path:
-        writer = writer.option("path", path)
-    writer.format("parquet").mode("overwrite").saveAsTable(table)
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+    spark.catalog.refreshTable(table)
+    if known:
+        spark.sql(f"DROP TABLE {retired}")
+    if path:
+        folders.remove(spark, old_folder)
+
+
+def write_table(
+    df: DataFrame,
+    table: str,
+    layout: Layout = Layout(),
+    path: str | None = None,
+    verify: Callable[[str], None] | None = None,
+) -> None:
+    """Replace a Parquet table, managed or, with ``path``, kept in that folder.
+
+    The rows are written to a fresh table, which ``verify`` may reject by raising, and then renamed.
+    Until then the old table is untouched; the renames are not one atomic step. A table with a path
+    is replaced even when this catalog does not know it yet. With buckets the rows are first
+    shuffled on the key, so that each bucket is one file instead of one file per task. Only narrow
+    tables with a key of bounded frequency are laid out like that.
+    """
+    _publish(df.sparkSession, _stage_table(df, table, layout, path, verify), table, path)
 
 
 def write_tables(
@@ -62,16 +115,33 @@ def write_tables(
 ) -> None:
     """Replace several independent tables, ``at_once`` jobs at a time; the first failure raises.
 
-    Small tables leave most of a cluster idle, so their jobs share it.
+    Small tables leave most of a cluster idle, so their jobs share it. No table is replaced before
+    all are written, and none is begun after a failure.
     """
     layouts, paths = layouts or {}, paths or {}
+    failed = Event()
+
+    def put(table: str) -> str | None:
+        if failed.is_set():
+            return None
+        try:
+            return _stage_table(tables[table], table, layouts.get(table, Layout()), paths.get(table), None)
+        except BaseException:
+            failed.set()
+            raise
+
     with ThreadPoolExecutor(max_workers=at_once) as pool:
-        jobs = [
-            pool.submit(write_table, df, table, layouts.get(table, Layout()), paths.get(table))
-            for table, df in tables.items()
-        ]
-        for job in jobs:
-            job.result()
+        jobs = {table: pool.submit(put, table) for table in tables}
+    errors = [job.exception() for job in jobs.values() if job.exception()]
+    fresh = {table: job.result() for table, job in jobs.items() if not job.exception() and job.result()}
+    for table, written in fresh.items():
+        spark, path = tables[table].sparkSession, paths.get(table)
+        if errors:
+            _discard(spark, written, f"{path}__{written.rsplit('__', 1)[1]}" if path else None)
+        else:
+            _publish(spark, written, table, path)
+    if errors:
+        raise errors[0]
 
 
 def read_table(spark: SparkSession, table: str) -> DataFrame:
@@ -91,10 +161,11 @@ def load_table(
 ) -> int:
     """Replace a table with a staged Parquet dataset and verify the count.
 
-    A missing path, a column that is absent or of another type, and a dataset without rows raise
-    before the table is touched. A wrong count raises too, so a later step never runs on half a load.
+    A missing path, a column that is absent or of another type, a dataset without rows and a wrong
+    count all raise and leave the old table as it was.
     """
     require_columns(spark, path, schema)
     source = require_rows(spark.read.schema(schema).parquet(path), path)
-    write_table(source, table, path=table_path)
-    return row_count_check(spark, table, source.count())
+    rows = source.count()
+    write_table(source, table, path=table_path, verify=lambda fresh: row_count_check(spark, fresh, rows))
+    return rows

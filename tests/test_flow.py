@@ -1,12 +1,15 @@
 from __future__ import annotations
 
+import dataclasses
+
 import pytest
+from pyspark.errors import AnalysisException
 
 from checks.workbench import Workbench
 from starsmelt.operators.quality import dim_key_unique
 from starsmelt.plans.datasets import run
 from starsmelt.plans.gold import GOLD_TABLES
-from starsmelt.plans.medallion import MedallionTables, Target, run_medallion
+from starsmelt.plans.medallion import MedallionTables, Target, quality_report, run_medallion
 from starsmelt.plans.silver import BRIDGES, DIMENSIONS, SILVER_TABLES
 from starsmelt.sources import NoRecords, PagesMissing, write_parquet
 
@@ -85,9 +88,38 @@ def test_another_application_reads_and_replaces_the_folders(spark, bench, flow):
         for table in spark.catalog.listTables(schema):
             spark.sql(f"DROP TABLE {schema}.{table.name}")
     assert content(MedallionTables(spark, target)) == content(flow)
+    report = quality_report(MedallionTables(spark, target))
+    assert sorted(report.collect()) == sorted(quality_report(flow).collect())
     assert content(run_medallion(spark, bench.pages, target)) == content(flow)
 
 
+def test_a_bad_extract_leaves_the_tables_as_they_were(spark, bench):
+    target = bench.new_target()
+    before = content(run_medallion(spark, bench.pages, target))
+    rows = MedallionTables(spark, target)["bronze.items"].count()
+    empty, broken = bench.stage.path("empty"), bench.stage.path("broken")
+    spark.createDataFrame([('{"results":[]}',)], "value string").write.text(empty)
+    spark.createDataFrame([('{"results":[',)], "value string").write.text(broken)
+    for source, pages in ((empty, None), (broken, None), (bench.pages, 10**6)):
+        with pytest.raises(Exception):
+            run_medallion(spark, source, target, expected_pages=pages)
+        assert MedallionTables(spark, target)["bronze.items"].count() == rows
+    assert content(MedallionTables(spark, target)) == before
+
+
+def test_targets_with_the_same_schemas_do_not_mix(spark, bench, flow, tmp_path):
+    first = dataclasses.replace(bench.new_target(), location=str(tmp_path / "a"))
+    second = dataclasses.replace(first, location=str(tmp_path / "b"))
+    run_medallion(spark, bench.pages, first)
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        MedallionTables(spark, second)["gold.fact_items"]
+    few = bench.stage.path("few")
+    write_parquet(bench.bronze.filter("id < 100"), few)
+    run_medallion(spark, few, second, source_format="parquet")
+    assert content(MedallionTables(spark, first)) == content(flow)
+    assert MedallionTables(spark, second)["gold.fact_items"].count() == 100
+
+
 def test_bucket_count_follows_the_data():
     target = Target()
     assert [target.buckets_for(rows, 8) for rows in (1, 15_000, 150_000, 10**7, 10**9)] == [

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from checks.queries import P5, lineitem_dedupe
 from checks.workbench import Workbench
 from starsmelt.operators.filters import Params, apply_filters
-from starsmelt.operators.joins import denormalise, fits_broadcast
-from starsmelt.operators.quality import duplicate_keys, null_tokens_to_null
+from starsmelt.operators.joins import denormalise
+from starsmelt.operators.quality import duplicate_keys, mark_repeats, null_tokens_to_null
 from starsmelt.plans.datasets import DATASETS, run
 
 FOLDER = "/root/testdata/sf0.001"
@@ -85,11 +85,17 @@ def test_top_lists_are_not_sorted_whole(bench, large, name):
     assert "TakeOrderedAndProject" in text and "rangepartitioning" not in text
 
 
-def test_top_items_bounds_rows_before_removing_copies(bench, large):
-    text = plan(run("top_items", bench))
-    assert "Subquery" in text
-    scan = next(line for line in text.splitlines() if "FileScan" in line and "item_name" in line)
-    assert "rating" in scan
+def test_top_items_bounds_rows_in_every_task_in_one_scan(bench, large):
+    text = plan(run("top_items", bench, P5))
+    ranked = text[text.index("WindowGroupLimit"):]
+    assert text.count("WindowGroupLimit") == 2
+    assert ranked[ranked.index("Exchange"):].count("WindowGroupLimit") == 1
+    assert text.count("FileScan") == 3
+
+
+def test_kpi_has_no_window(bench, large):
+    text = plan(run("kpi", bench))
+    assert "Window" not in text and "partial_percentile_disc" in text
 
 
 def test_duplicates_shrink_before_the_shuffle(spark, large):
@@ -104,6 +110,15 @@ def test_repeated_keys_are_found_from_the_key_column(bench, large):
     assert text.count("HashAggregate") == 2
 
 
+@pytest.mark.parametrize("threshold", ["-1", "10MB"])
+def test_repeated_records_are_marked_in_one_scan(spark, bench, large, threshold):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    repeated = bench.stage.put(duplicate_keys(bench.bronze, ["id"]).select("id"), "repeated")
+    text = plan(mark_repeats(bench.bronze, ["id"], repeated))
+    assert len(re.findall(r"FileScan .*genres", text)) == 1
+    assert ("BroadcastHashJoin" in text) == (threshold != "-1")
+
+
 def test_bridge_reads_one_member_and_does_not_shuffle(bench, large):
     text = plan(bench.build_silver("bridge_item_platforms"))
     assert exchanges(text) == []
@@ -152,11 +167,3 @@ def test_hot_key_of_a_dimension_join_is_split(spark, tmp_path, null_key):
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
-
-
-def test_broadcast_needs_a_checked_size(spark):
-    df = spark.range(100).select(F.col("id").cast("string").alias("k"))
-    assert fits_broadcast(df)
-    assert not fits_broadcast(df, max_rows=99)
-    assert not fits_broadcast(df, max_bytes=500)
-    assert fits_broadcast(df.limit(0))

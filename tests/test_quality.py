@@ -5,7 +5,6 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from starsmelt.operators import quality
 from starsmelt.operators.quality import (
     date_rejects,
     dedupe,
@@ -76,11 +75,15 @@ def test_survivor_does_not_depend_on_partitioning(spark):
     assert len(results[0]) == 40
 
 
-@pytest.mark.parametrize("fits", [True, False])
-def test_dedupe_with_few_or_many_repeated_keys(spark, monkeypatch, fits):
-    monkeypatch.setattr(quality, "fits_broadcast", lambda df: fits)
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_dedupe_with_broadcast_or_sorted_keys(spark, threshold):
     df = spark.createDataFrame(ROWS, "id bigint, a string, b bigint")
-    assert values(dedupe(df, ["id"], Stage(spark))) == sorted(FIRST, key=repr)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        assert values(dedupe(df, ["id"], Stage(spark))) == sorted(FIRST, key=repr)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_dedupe_on_two_keys(spark):
@@ -90,9 +93,10 @@ def test_dedupe_on_two_keys(spark):
     assert values(dedupe(df, ["id", "a"], Stage(spark))) == expected
 
 
-def test_dedupe_without_repeats_adds_no_work(spark):
+def test_dedupe_without_repeats_or_rows(spark):
     df = spark.range(10).withColumn("a", F.lit("x"))
-    assert dedupe(df, ["id"], Stage(spark)) is df
+    assert values(dedupe(df, ["id"], Stage(spark))) == sorted(values(df), key=repr)
+    assert dedupe(df.limit(0), ["id"], Stage(spark)).count() == 0
 
 
 def test_hot_key(spark):

@@ -6,23 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starsmelt.functions import stable_round
-from starsmelt.operators.ranking import distinct_top, weighted_median
-
-
-@pytest.mark.parametrize("numbers", [
-    [3], [1, 2], [1, 2, 3], [5, 5, 5, 9], [None, 4, None], [0, 0, 1, 1], list(range(101)),
-])
-def test_weighted_median_is_the_lower_median(spark, numbers):
-    df = spark.createDataFrame([(n,) for n in numbers], "v bigint")
-    histogram = df.groupBy("v").agg(F.count(F.lit(1)).alias("w"))
-    known = sorted(n for n in numbers if n is not None)
-    found = {row["m"] for row in weighted_median(histogram, "v", "w", "m").collect()}
-    assert found == {known[(len(known) - 1) // 2]}
-
-
-def test_weighted_median_of_nothing(spark):
-    histogram = spark.createDataFrame([(None, 4)], "v bigint, w bigint")
-    assert weighted_median(histogram, "v", "w", "m").first()["m"] is None
+from starsmelt.operators.ranking import distinct_top
 
 
 @pytest.mark.parametrize("seed", range(6))
@@ -30,23 +14,25 @@ def test_distinct_top_equals_brute_force(spark, seed):
     rng = random.Random(seed)
     rows = [(rng.randint(0, 6) / 2, rng.choice([None, 1, 2]), rng.choice("abc")) for _ in range(300)]
     df = spark.createDataFrame(rows, "r double, c bigint, n string").repartition(5)
+    df = df.withColumn("id", F.monotonically_increasing_id())
     order = [F.desc("r"), F.desc("c"), F.asc("n")]
     for size in (1, 5, 40, 500):
-        found = [tuple(row) for row in distinct_top(df, ["r", "c"], order, size).collect()]
+        found = [tuple(row) for row in distinct_top(df, ["r", "c", "n"], order, size, "id").collect()]
         ranked = sorted(set(rows), key=lambda t: (-t[0], -(t[1] or 0), t[2]))
         assert found == ranked[:size]
 
 
 def test_distinct_top_of_nothing(spark):
     df = spark.createDataFrame([], "r double, n string")
-    assert distinct_top(df, ["r"], [F.desc("r")], 3).collect() == []
+    assert distinct_top(df, ["r", "n"], [F.desc("r"), F.asc("n")], 3, "n").collect() == []
 
 
 def test_distinct_top_with_a_hot_copy(spark):
     hot = spark.range(20_000).select(F.lit(5.0).alias("r"), F.lit("same").alias("n"))
     rest = spark.range(40_000).select(
         (F.col("id") / 10_000).alias("r"), F.col("id").cast("string").alias("n"))
-    top = distinct_top(hot.unionByName(rest), ["r"], [F.desc("r"), F.asc("n")], 3).collect()
+    rows = hot.unionByName(rest).withColumn("id", F.monotonically_increasing_id())
+    top = distinct_top(rows, ["r", "n"], [F.desc("r"), F.asc("n")], 3, "id").collect()
     assert [row["n"] for row in top] == ["same", "39999", "39998"]
 
 

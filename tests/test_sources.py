@@ -128,7 +128,43 @@ def test_parallel_writes_raise_the_first_failure(spark, tmp_path):
     write_tables(good)
     assert [spark.table(name).count() for name in good] == list(range(6))
     with pytest.raises(PySparkException):
-        write_tables({**good, "t_many.bad": spark.range(3).selectExpr("raise_error('no') AS x")})
+        write_tables(
+            {"t_many.bad": spark.range(3).selectExpr("raise_error('no') AS x"),
+             **{name: spark.range(50) for name in good}, "t_many.late": spark.range(1)}, at_once=1)
+    assert [spark.table(name).count() for name in good] == list(range(6))
+    assert {table.name for table in spark.catalog.listTables("t_many")} == {f"t{i}" for i in range(6)}
+
+
+@pytest.mark.parametrize("external", [False, True])
+def test_a_failed_write_leaves_the_table_as_it_was(spark, tmp_path, external):
+    schema = f"t_safe{int(external)}"
+    create_schema(spark, schema, str(tmp_path / schema))
+    table, path = f"{schema}.a", str(tmp_path / "folder" / "a") if external else None
+    write_table(spark.range(5), table, Layout("id", (), 2), path)
+    bad = spark.range(3).selectExpr("raise_error('no') AS id")
+
+    def refuse(fresh):
+        raise RowCountMismatch(fresh)
+
+    for df, verify in ((bad, None), (spark.range(9), refuse)):
+        with pytest.raises((PySparkException, RowCountMismatch)):
+            write_table(df, table, path=path, verify=verify)
+        assert spark.table(table).count() == 5
+        if external:
+            assert spark.read.parquet(path).count() == 5
+            assert [folder.name for folder in (tmp_path / "folder").iterdir()] == ["a"]
+    write_table(spark.range(7), table, Layout("id", (), 3), path)
+    assert spark.table(table).count() == 7
+    assert [found.name for found in spark.catalog.listTables(schema)] == ["a"]
+    if external:
+        assert [folder.name for folder in (tmp_path / "folder").iterdir()] == ["a"]
+
+
+def test_a_stage_is_removed_after_its_run(spark):
+    with Stage(spark) as stage:
+        assert stage.put(spark.range(3), "kept").count() == 3
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        spark.read.parquet(f"{stage.folder}/*")
 
 
 def test_stage_survives_without_its_source(spark, tmp_path):
