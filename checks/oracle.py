@@ -5,11 +5,6 @@ Nothing here goes through JSON, so agreement also checks encoding, decoding and
 
 from __future__ import annotations
 
-from checks.queries import FILTERS, P5
-from starsmelt.operators.filters import Params
-from starsmelt.plans.datasets import DATASETS
-from starsmelt.plans.feeds import FEEDS
-
 
 def _clean(expr: str) -> str:
     return (f"CASE WHEN lower(trim({expr})) IN ('', 'nan', 'none', 'null', 'na', 'n/a') "
@@ -146,90 +141,151 @@ SCALARS = ("id, name, released, tba, rating, ratings_count, reviews_text_count,
            "added, playtime")
 
 
-def _conditions(params: Params, accepts) -> str:
-    """Filters on the fact ``f`` as AND terms, each with its leading AND."""
-    params = params.only(accepts)
-    terms = []
-    if params.category is not None:
-        terms.append("EXISTS (SELECT 1 FROM g_bridge_categories x WHERE x.item_id = f.item_id "
-                     f"AND x.category_name = '{params.category}')")
-    if params.family is not None:
-        terms.append("EXISTS (SELECT 1 FROM g_bridge_platform_families x WHERE x.item_id = f.item_id "
-                     f"AND x.platform_family_name = '{params.family}')")
-    if params.content_rating is not None:
-        terms.append(f"coalesce(f.content_rating, 'Not Rated') = '{params.content_rating}'")
-    if params.date_from is not None:
-        terms.append(f"f.released >= DATE '{params.date_from}'")
-    if params.date_to is not None:
-        terms.append(f"f.released <= DATE '{params.date_to}'")
-    return "".join(f" AND {term}" for term in terms)
+# Filters of each dataset, and the selections of FIXTURES.md, as literals: not from the code under test.
+EVERY = ("category", "family", "content_rating", "date_from", "date_to")
+ACCEPTS = {
+    "opt_categories": (), "opt_families": (), "opt_content_ratings": (),
+    "kpi": EVERY,
+    "category_stats": ("family", "content_rating", "date_from", "date_to"),
+    "family_stats": ("category", "content_rating", "date_from", "date_to"),
+    "release_trend": EVERY,
+    "content_rating_dist": ("category", "family", "date_from", "date_to"),
+    "vote_breakdown": EVERY, "top_tags": EVERY, "store_dist": EVERY, "top_items": EVERY,
+    "rating_vs_usage": ("date_from", "date_to"), "category_by_family": ("date_from", "date_to"),
+}
+ALL_FIVE = {"category": "Brand#4", "family": "ASIA", "content_rating": "Not Rated",
+            "date_from": "1996-01-01", "date_to": "1999-12-31"}
+SELECTIONS = {
+    "filter_category": {"category": "Brand#4"},
+    "filter_family": {"family": "ASIA"},
+    "filter_content_rating": {"content_rating": "Not Rated"},
+    "filter_date_from": {"date_from": "1996-01-01"},
+    "filter_date_to": {"date_to": "1999-12-31"},
+    "filter_all": ALL_FIVE,
+}
+FEED_COLUMNS = {
+    "category_options": ("opt_categories", "category_name"),
+    "family_options": ("opt_families", "platform_family_name"),
+    "content_rating_options": ("opt_content_ratings", "content_rating"),
+    "total_items": ("kpi", "total_items"),
+    "avg_rating": ("kpi", "avg_rating"),
+    "median_usage": ("kpi", "median_usage_hrs"),
+    "avg_ratings_count": ("kpi", "avg_ratings_count"),
+    "categories_by_count": ("category_stats", "category_name,item_count"),
+    "families_by_count": ("family_stats", "platform_family_name,item_count"),
+    "category_groups_by_family": (
+        "category_by_family", "platform_family_name,item_count,category_group"),
+    "rating_against_usage": ("rating_vs_usage", "avg_usage_hrs,avg_rating,category_name"),
+    "releases_per_year": ("release_trend", "release_year,item_count"),
+    "content_rating_share": ("content_rating_dist", "content_rating,item_count"),
+    "votes_by_title": ("vote_breakdown", "vote_title,total_votes"),
+    "tags_by_count": ("top_tags", "tag_name,item_count"),
+    "stores_by_count": ("store_dist", "store_name,item_count"),
+    "rating_by_category": ("category_stats", "category_name,avg_rating"),
+    "rating_by_family": ("family_stats", "platform_family_name,avg_rating"),
+    "top_items_table": (
+        "top_items", "item_name,released,rating,ratings_count,usage_hrs,content_rating"),
+}
+
+# What an item belongs to, as lists: one row per fact row, so membership needs no join per filter.
+BASE += """, item AS (
+  SELECT facts.*, categories, families, stores, tags, votes
+  FROM g_fact_items AS facts
+  LEFT JOIN (SELECT item_id, list(category_name) FILTER (category_name IS NOT NULL) AS categories
+    FROM g_bridge_categories GROUP BY item_id) USING (item_id)
+  LEFT JOIN (SELECT item_id, list(platform_family_name)
+      FILTER (platform_family_name IS NOT NULL) AS families
+    FROM g_bridge_platform_families GROUP BY item_id) USING (item_id)
+  LEFT JOIN (SELECT item_id, list(store_name) FILTER (store_name IS NOT NULL) AS stores
+    FROM g_bridge_stores GROUP BY item_id) USING (item_id)
+  LEFT JOIN (SELECT item_id, list(tag_name) FILTER (tag_name IS NOT NULL) AS tags
+    FROM tags WHERE tag_language = 'eng' GROUP BY item_id) USING (item_id)
+  LEFT JOIN (SELECT item_id, list({title: vote_title, n: vote_count})
+      FILTER (vote_title IS NOT NULL) AS votes
+    FROM g_bridge_votes GROUP BY item_id) USING (item_id)
+), largest AS (
+  SELECT category_name AS big FROM g_bridge_categories GROUP BY category_name
+  QUALIFY row_number() OVER (ORDER BY count(DISTINCT item_id) DESC, category_name NULLS FIRST) <= 5
+)
+"""
+
+_TESTS = {
+    "category": "list_contains(categories, '{}')",
+    "family": "list_contains(families, '{}')",
+    "content_rating": "ifnull(content_rating, 'Not Rated') = '{}'",
+    "date_from": "released >= DATE '{}'",
+    "date_to": "released <= DATE '{}'",
+}
+
+
+def _picked(given: dict, accepted=EVERY) -> str:
+    """The rows of ``item`` that pass what is given and accepted, as a table expression."""
+    tests = [_TESTS[name].format(given[name]) for name in accepted if given.get(name) is not None]
+    return f"(SELECT * FROM item{' WHERE ' + ' AND '.join(tests) if tests else ''})"
+
+
+def _mean(value: str, digits: int) -> str:
+    return _round(f"sum({value}) / count({value})", digits)
+
+
+def _placed(inner: str, order: str, size: int) -> str:
+    columns = f"SELECT * EXCLUDE (place) FROM (SELECT *, row_number() OVER (ORDER BY {order}) AS place"
+    return f"{columns} FROM ({inner})) WHERE place <= {size}"
 
 
-# Dataset -> SQL with a place for the filter terms.
+# Dataset -> SQL with a place for the items that pass the filters.
 DATASET_SQL = {
-    "opt_categories": """SELECT DISTINCT category_name FROM g_bridge_categories
-      WHERE category_name IS NOT NULL""",
-    "opt_families": """SELECT DISTINCT platform_family_name FROM g_bridge_platform_families
-      WHERE platform_family_name IS NOT NULL""",
-    "opt_content_ratings": """SELECT DISTINCT coalesce(content_rating, 'Not Rated') AS content_rating
-      FROM g_fact_items""",
-    "kpi": f"""SELECT count(*) AS total_items, {_round('avg(rating)', 2)} AS avg_rating,
-      round(CAST(quantile_disc(usage_hrs, 0.5) AS DOUBLE), 1) AS median_usage_hrs,
-      {_round('avg(ratings_count)', 0)} AS avg_ratings_count
-      FROM g_fact_items f WHERE release_year IS NOT NULL {{where}}""",
-    "category_stats": f"""SELECT category_name, count(DISTINCT f.item_id) AS item_count,
-      {_round('avg(rating)', 2)} AS avg_rating, {_round('avg(usage_hrs)', 1)} AS avg_usage_hrs
-      FROM g_fact_items f JOIN g_bridge_categories g ON f.item_id = g.item_id
-      WHERE category_name IS NOT NULL {{where}}
-      GROUP BY category_name ORDER BY item_count DESC, category_name LIMIT 15""",
-    "family_stats": f"""SELECT platform_family_name, count(DISTINCT f.item_id) AS item_count,
-      {_round('avg(rating)', 2)} AS avg_rating
-      FROM g_fact_items f JOIN g_bridge_platform_families g ON f.item_id = g.item_id
-      WHERE platform_family_name IS NOT NULL {{where}} GROUP BY platform_family_name""",
+    "opt_categories": "SELECT DISTINCT unnest(categories) AS category_name FROM {items}",
+    "opt_families": "SELECT DISTINCT unnest(families) AS platform_family_name FROM {items}",
+    "opt_content_ratings": """SELECT ifnull(content_rating, 'Not Rated') AS content_rating
+      FROM {items} GROUP BY ALL""",
+    "kpi": f"""SELECT count(*) AS total_items, {_mean('rating', 2)} AS avg_rating,
+      CAST(min(usage_hrs) FILTER (share >= 0.5) AS DOUBLE) AS median_usage_hrs,
+      {_mean('ratings_count', 0)} AS avg_ratings_count
+      FROM (SELECT *, cume_dist() OVER (ORDER BY usage_hrs) AS share
+        FROM {{items}} WHERE released IS NOT NULL)""",
+    "category_stats": _placed(f"""SELECT category_name, count(DISTINCT item_id) AS item_count,
+      {_mean('rating', 2)} AS avg_rating, {_mean('usage_hrs', 1)} AS avg_usage_hrs
+      FROM (SELECT unnest(categories) AS category_name, item_id, rating, usage_hrs FROM {{items}})
+      GROUP BY category_name""", "item_count DESC, category_name", 15),
+    "family_stats": f"""SELECT platform_family_name, count(DISTINCT item_id) AS item_count,
+      {_mean('rating', 2)} AS avg_rating
+      FROM (SELECT unnest(families) AS platform_family_name, item_id, rating FROM {{items}})
+      GROUP BY platform_family_name""",
     "release_trend": f"""SELECT release_year, count(DISTINCT item_id) AS item_count,
-      {_round('avg(rating)', 2)} AS avg_rating FROM g_fact_items f
-      WHERE release_year BETWEEN 1990 AND year(current_date) {{where}} GROUP BY release_year""",
-    "content_rating_dist": """SELECT coalesce(content_rating, 'Not Rated') AS content_rating,
-      item_count FROM (SELECT content_rating, count(DISTINCT item_id) AS item_count
-      FROM g_fact_items f WHERE true {where} GROUP BY content_rating)""",
-    "vote_breakdown": """SELECT vote_title, CAST(sum(vote_count) AS BIGINT) AS total_votes
-      FROM g_bridge_votes v JOIN g_fact_items f ON v.item_id = f.item_id
-      WHERE vote_title IS NOT NULL {where} GROUP BY vote_title""",
-    "top_tags": """SELECT tag_name, count(DISTINCT b.item_id) AS item_count
-      FROM s_dim_tags t JOIN s_bridge_item_tags b ON t.tag_id = b.tag_id
-      JOIN g_fact_items f ON b.item_id = f.item_id WHERE tag_language = 'eng' {where}
-      GROUP BY tag_name ORDER BY item_count DESC, tag_name LIMIT 10""",
-    "store_dist": """SELECT store_name, count(DISTINCT s.item_id) AS item_count
-      FROM g_bridge_stores s JOIN g_fact_items f ON s.item_id = f.item_id
-      WHERE store_name IS NOT NULL {where} GROUP BY store_name""",
-    "top_items": f"""SELECT item_name, CAST(released AS VARCHAR) AS released,
-      {_round('rating', 2)} AS rating, ratings_count, usage_hrs,
-      coalesce(content_rating, 'Not Rated') AS content_rating
-      FROM (SELECT DISTINCT item_name, released, rating, ratings_count, usage_hrs, content_rating
-        FROM g_fact_items f WHERE ratings_count >= 10 AND rating IS NOT NULL {{where}}
-        ORDER BY rating DESC, ratings_count DESC, item_name NULLS FIRST, released NULLS FIRST,
-          usage_hrs NULLS FIRST, content_rating NULLS FIRST LIMIT 20)""",
-    "rating_vs_usage": f"""SELECT category_name, {_round('avg(rating)', 2)} AS avg_rating,
-      {_round('avg(usage_hrs)', 1)} AS avg_usage_hrs, count(DISTINCT f.item_id) AS item_count
-      FROM g_fact_items f JOIN g_bridge_categories g ON f.item_id = g.item_id
-      WHERE category_name IS NOT NULL AND rating IS NOT NULL AND usage_hrs > 0 {{where}}
-      GROUP BY category_name""",
-    "category_by_family": """SELECT platform_family_name,
-      CASE WHEN g.category_name IN (SELECT category_name FROM (
-        SELECT category_name, count(DISTINCT item_id) AS n FROM g_bridge_categories
-        GROUP BY category_name ORDER BY n DESC, category_name NULLS FIRST LIMIT 5
-      )) THEN g.category_name ELSE 'Other' END AS category_group,
-      count(DISTINCT f.item_id) AS item_count
-      FROM g_fact_items f JOIN g_bridge_categories g ON f.item_id = g.item_id
-      JOIN g_bridge_platform_families p ON f.item_id = p.item_id
-      WHERE platform_family_name IS NOT NULL AND g.category_name IS NOT NULL {where}
-      GROUP BY platform_family_name, category_group""",
+      {_mean('rating', 2)} AS avg_rating FROM {{items}}
+      GROUP BY release_year HAVING release_year >= 1990 AND release_year <= year(today())""",
+    "content_rating_dist": """SELECT ifnull(stored, 'Not Rated') AS content_rating, item_count
+      FROM (SELECT content_rating AS stored, count(DISTINCT item_id) AS item_count
+        FROM {items} GROUP BY stored)""",
+    "vote_breakdown": """SELECT vote.title AS vote_title, CAST(sum(vote.n) AS BIGINT) AS total_votes
+      FROM (SELECT unnest(votes) AS vote FROM {items}) GROUP BY ALL""",
+    "top_tags": _placed("""SELECT tag_name, count(DISTINCT item_id) AS item_count
+      FROM (SELECT item_id, unnest(tags) AS tag_name FROM {items}) GROUP BY tag_name""",
+                        "item_count DESC, tag_name", 10),
+    "store_dist": """SELECT store_name, count(DISTINCT item_id) AS item_count
+      FROM (SELECT item_id, unnest(stores) AS store_name FROM {items}) GROUP BY store_name""",
+    "top_items": f"""SELECT item_name, CAST(day AS VARCHAR) AS released,
+        {_round('stars', 2)} AS rating, ratings_count, usage_hrs,
+        ifnull(label, 'Not Rated') AS content_rating
+      FROM (SELECT DISTINCT item_name, released AS day, rating AS stars, ratings_count, usage_hrs,
+          content_rating AS label FROM {{items}} WHERE rating IS NOT NULL AND ratings_count >= 10)
+      QUALIFY row_number() OVER (ORDER BY stars DESC, ratings_count DESC, item_name NULLS FIRST,
+        day NULLS FIRST, usage_hrs NULLS FIRST, label NULLS FIRST) <= 20""",
+    "rating_vs_usage": f"""SELECT category_name, {_mean('rating', 2)} AS avg_rating,
+      {_mean('usage_hrs', 1)} AS avg_usage_hrs, count(DISTINCT item_id) AS item_count
+      FROM (SELECT unnest(categories) AS category_name, item_id, rating, usage_hrs FROM {{items}}
+        WHERE usage_hrs > 0 AND rating IS NOT NULL) GROUP BY category_name""",
+    "category_by_family": """SELECT platform_family_name, ifnull(big, 'Other') AS category_group,
+      count(DISTINCT item_id) AS item_count
+      FROM (SELECT item_id, family AS platform_family_name, unnest(categories) AS name
+        FROM (SELECT item_id, categories, unnest(families) AS family FROM {items}))
+      LEFT JOIN largest ON name = big GROUP BY ALL""",
 }
 
 
-def dataset_sql(name: str, params: Params = Params()) -> str:
-    where = _conditions(params, DATASETS[name].accepts)
-    return DATASET_SQL[name].replace("{where}", where)
+def dataset_sql(name: str, given: dict | None = None) -> str:
+    return DATASET_SQL[name].replace("{items}", _picked(given or {}, ACCEPTS[name]))
 
 
 def _row_counts(parts: dict[str, str], label: str, count: str) -> str:
@@ -242,6 +298,7 @@ def _variants(dim: str, key: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    filtered = [name for name, accepted in ACCEPTS.items() if accepted]
     sql = {
         "page_flatten": f"SELECT {SCALARS}, n IS NOT NULL OR id % 2 = 0 AS has_genres FROM bronze",
         "json_round_trip": """
@@ -279,18 +336,16 @@ def oracle_sql() -> dict[str, str]:
         "gold_write_all": _row_counts(
             {name: f"SELECT * FROM g_{name}" for name in GOLD}, "table_name", "row_count"),
         **{name: "SELECT item_id, item_name, released, rating, usage_hrs, content_rating "
-                 f"FROM g_fact_items f WHERE true {_conditions(params, vars(params))}"
-           for name, params in FILTERS.items()},
-        **{name: dataset_sql(name) for name in DATASETS},
-        **{f"{name}_filtered": dataset_sql(name, P5) for name, ds in DATASETS.items() if ds.accepts},
+                 f"FROM {_picked(given)}" for name, given in SELECTIONS.items()},
+        **{name: dataset_sql(name) for name in ACCEPTS},
+        **{f"{name}_filtered": dataset_sql(name, ALL_FIVE) for name in filtered},
         "apply_to_all": _row_counts(
-            {name: dataset_sql(name, P5) for name, ds in DATASETS.items() if ds.accepts},
-            "dataset", "row_count"),
-        **{f"feed_{name}": f"SELECT {', '.join(columns)} FROM ({dataset_sql(dataset)})"
-           for name, (dataset, columns) in FEEDS.items()},
+            {name: dataset_sql(name, ALL_FIVE) for name in filtered}, "dataset", "row_count"),
+        **{f"feed_{name}": f"SELECT {columns} FROM ({dataset_sql(dataset)})"
+           for name, (dataset, columns) in FEED_COLUMNS.items()},
         "feed_all": " UNION ALL ".join(
-            f"SELECT '{name}' AS feed, '{','.join(columns)}' AS columns, count(*) AS row_count "
-            f"FROM ({dataset_sql(dataset)})" for name, (dataset, columns) in FEEDS.items()),
+            f"SELECT '{name}' AS feed, '{columns}' AS columns, count(*) AS row_count "
+            f"FROM ({dataset_sql(dataset)})" for name, (dataset, columns) in FEED_COLUMNS.items()),
         "medallion_end_to_end": dataset_sql("kpi"),
     }
     sql = {name: f"{BASE} {body}" for name, body in sql.items()}
