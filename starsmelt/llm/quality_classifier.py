@@ -40,7 +40,7 @@ class Settings:
     Few labels are gone through more than ``epochs`` times, for ``least_steps`` steps in all.
     """
 
-    sample: int = 2000
+    sample: int = 4000
     buckets_log2: int = 16
     dimensions: int = 8
     epochs: int = 6
@@ -117,6 +117,17 @@ class Features:
             yield distinct, np.bincount(at, weights=counts, minlength=len(distinct))
 
 
+def _narrow(values: np.ndarray) -> bytes:
+    """Whole numbers in 16 bits each where all fit, else in 32."""
+    fits = not len(values) or values.max() < 1 << 16
+    return values.astype(np.uint16 if fits else np.uint32).tobytes()
+
+
+def _widened(raw: pa.Buffer, n: int) -> np.ndarray:
+    """A view of the ``n`` numbers that ``_narrow`` packed."""
+    return np.frombuffer(raw, np.uint32 if raw.size == 4 * n else np.uint16)
+
+
 @dataclass(frozen=True)
 class Model:
     """Weight of each bucket towards label 1, and the weight of no feature at all."""
@@ -186,17 +197,20 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_
                 found = list(Features(texts[a:b], bits).rows())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[a:b], pa.int64()), pa.array(given[a:b], pa.int32()),
-                     pa.array([x.astype(np.int32).tobytes() for x, _ in found], pa.binary()),
-                     pa.array([x.astype(np.float32).tobytes() for _, x in found], pa.binary())],
-                    names=["doc_id", "label", "buckets", "counts"])
+                     pa.array([len(x) for x, _ in found], pa.int32()),
+                     pa.array([_narrow(x) for x, _ in found], pa.binary()),
+                     pa.array([_narrow(x) for _, x in found], pa.binary())],
+                    names=["doc_id", "label", "n", "buckets", "counts"])
 
     # the sample has a bound, so it may be broadcast to the texts
     sample = id_and_text(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id").mapInArrow(
-        run, "doc_id long, label int, buckets binary, counts binary")
-    found = sample.toArrow().sort_by("doc_id")
-    rows = [(np.frombuffer(buckets.as_buffer(), np.int32), np.frombuffer(counts.as_buffer(), np.float32),
-             label) for buckets, counts, label in zip(
-                 found["buckets"], found["counts"], found["label"].to_pylist())]
+        run, "doc_id long, label int, n int, buckets binary, counts binary")
+    found = sample.toArrow()
+    rows = [(_widened(buckets.as_buffer(), n), _widened(counts.as_buffer(), n), label)
+            for buckets, counts, n, label in zip(found["buckets"], found["counts"],
+                                                 found["n"].to_pylist(), found["label"].to_pylist())]
+    # rows are put in order as views: sorting the table would copy it
+    rows = [rows[k] for k in np.argsort(found["doc_id"].to_numpy(), kind="stable")]
     return train(rows, settings)
 
 
