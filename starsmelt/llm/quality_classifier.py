@@ -23,6 +23,7 @@ from starsmelt.llm.common import (
     byte_slices,
     chunk_codes,
     id_and_text,
+    null_to_empty,
     ragged,
     range_sums,
     small_batches,
@@ -178,9 +179,9 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_
     """A model of ``label_col``, learned from labelled texts that are not held out.
 
     At most ``settings.sample`` labels are used, those with the smallest MD5 of the id; a label
-    given twice counts once and null labels or ids do not count. Features are made by the tasks,
-    and the driver gets at most ``1 << buckets_log2`` buckets for each sampled text. Without labels
-    every score is 0.5.
+    given twice counts once and null labels or ids do not count. Of rows with the same id the text
+    with the smallest MD5 is fitted, once. Features are made by the tasks, and the driver gets at
+    most ``1 << buckets_log2`` buckets for each sampled text. Without labels every score is 0.5.
     """
     usable = labels.select(F.col(id_col).cast("long").alias("doc_id"),
                            F.col(label_col).cast("int").alias("label")).filter(
@@ -203,7 +204,11 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_
                     names=["doc_id", "label", "n", "buckets", "counts"])
 
     # the sample has a bound, so it may be broadcast to the texts
-    sample = id_and_text(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id").mapInArrow(
+    text = null_to_empty(F.col("text"))
+    one = id_and_text(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(
+        F.first("label").alias("label"),
+        F.min(F.struct(F.md5(text).alias("hash"), text.alias("text"))).alias("least"))
+    sample = one.select("doc_id", "label", "least.text").mapInArrow(
         run, "doc_id long, label int, n int, buckets binary, counts binary")
     found = sample.toArrow()
     rows = [(_widened(buckets.as_buffer(), n), _widened(counts.as_buffer(), n), label)
