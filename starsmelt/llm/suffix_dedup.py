@@ -8,7 +8,8 @@ distinct one once with its number of occurrences, to the blocks of an index, all
 anchor in one block:
 
 * the windows of a block are sorted, and the bytes before them are its Burrows-Wheeler transform,
-  kept as runs; equal passages only make runs longer, so they are one entry with a weight;
+  kept as one byte for each window; equal passages only make runs longer, so they are one entry with
+  a weight;
 * at the run ends the longest match with the neighbour is measured by comparing bytes;
 * elsewhere it is streamed along the passage: one byte on, a match is one byte shorter. Where that
   falls below the length that counts, bytes are compared again.
