@@ -11,11 +11,14 @@ from starsmelt.llm import (
     line_dedup,
     ngram_join,
     packing,
+    periodic_runs,
     quality_classifier,
     quality_rules,
     sharding,
     suffix_dedup,
     token_counts,
+    vector_codes,
+    warc,
 )
 from starsmelt.llm.common import read
 
@@ -74,9 +77,24 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planted = periodic_runs.plant_runs(read(spark, sf_dir, "documents"))
+    return periodic_runs.digest(periodic_runs.find_runs(planted))
+
+
+def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.digest(vector_codes.compress(read(spark, sf_dir, "embeddings")))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc.write_archives(read(spark, sf_dir, "pages"))
+    return warc.digest(warc.merge_index(warc.read_captures(spark, folder)))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_pack, op2_suffix_dedup, op3_decontaminate, op4_chat, op5_shards, op6_quality, op7_lines,
-    op8_rules, op9_tokens, op10_jaccard)}
+    op8_rules, op9_tokens, op10_jaccard, op11_runs, op12_codes,
+    op13_warc)}
 
 ORACLE_SQL = {
     "op3_decontaminate": decontamination.SQL,
@@ -84,4 +102,6 @@ ORACLE_SQL = {
     "op5_shards": sharding.SQL,
     "op7_lines": line_dedup.SQL,
     "op8_rules": quality_rules.SQL,
+    "op12_codes": vector_codes.SQL,
+    "op13_warc": warc.SQL,
 }
