@@ -90,10 +90,10 @@ def parquet_bronze_scan(spark, folder):
 
 def bronze_table_load(spark, folder):
     bench = workbench(spark, folder)
-    table, path = bench.new_target().table("bronze", "items"), bench.stage.path("records")
+    target, path = bench.new_target(), bench.stage.path("records")
     write_parquet(bench.bronze, path)
-    load_table(spark, path, table, BRONZE_SCHEMA)
-    return read_table(spark, table).select("id", "name", "released", "rating", "added", "playtime")
+    load_table(target.layer(spark, "bronze"), path, "items", BRONZE_SCHEMA)
+    return read_table(spark, target.table("bronze", "items")).select("id", "name", "released", "rating", "added", "playtime")
 
 
 def null_tokens(spark, folder):

@@ -16,7 +16,7 @@ from starsmelt.fixtures import records_from_star, to_bronze
 from starsmelt.plans.gold import GOLD_TABLES, NAMED_BRIDGES, gold_layout, gold_table
 from starsmelt.plans.medallion import MedallionTables, Target, run_medallion
 from starsmelt.plans.silver import SILVER_TABLES, parsed_items, silver_layout, silver_table
-from starsmelt.sources import Stage, land_pages, write_table
+from starsmelt.sources import Layer, Stage, Version, land_pages
 
 # Silver tables each gold table is built from.
 _NEEDS = {
@@ -34,7 +34,8 @@ class Workbench(Mapping):
         self.spark, self.folder = spark, folder
         self.stage = Stage(spark)
         self.target = self.new_target()
-        self._written: set[str] = set()
+        self._layers = {name: self.target.layer(spark, name) for name in ("silver", "gold")}
+        self._versions: dict[str, Version] = {}
 
     def new_target(self, **options) -> Target:
         run = f"smelt_{uuid.uuid4().hex[:8]}"
@@ -82,12 +83,11 @@ class Workbench(Mapping):
         build, layout = {
             "silver": (self.build_silver, silver_layout), "gold": (self.build_gold, gold_layout),
         }[layer]
-        full_name = self.target.table(layer, table)
-        if name not in self._written:
-            path = self.target.path(layer, table)
-            write_table(build(table), full_name, layout(table, self.buckets), path)
-            self._written.add(name)
-        return self.spark.table(full_name)
+        owner: Layer = self._layers[layer]
+        if name not in self._versions:
+            owner.write({table: build(table)}, {table: layout(table, self.buckets)})
+            self._versions[name] = owner.current()[table]
+        return owner.frame(self._versions[name])
 
     def __iter__(self) -> Iterator[str]:
         yield from (f"silver.{name}" for name in SILVER_TABLES)

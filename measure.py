@@ -26,7 +26,7 @@ from starsmelt.plans.datasets import DATASETS, run
 from starsmelt.plans.medallion import MedallionTables, load_bronze, refine_gold, refine_silver
 from starsmelt.plans.silver import SILVER_TABLES, silver_layout, silver_table
 from starsmelt.schemas import DECODED_COLUMNS, OPAQUE_FIELDS
-from starsmelt.sources import Stage, write_tables
+from starsmelt.sources import Stage
 
 
 def main() -> None:
@@ -50,9 +50,9 @@ def main() -> None:
 
     def silver_parsed_in_each():
         parsed = parse_json_columns(dedupe_by_key(clean, ["id"]), DECODED_COLUMNS)
-        write_tables(
-            {f"{plain.silver}.{name}": silver_table(name, parsed) for name in SILVER_TABLES},
-            {f"{plain.silver}.{name}": silver_layout(name, 0) for name in SILVER_TABLES})
+        plain.layer(spark, "silver").write(
+            {name: silver_table(name, parsed) for name in SILVER_TABLES},
+            {name: silver_layout(name, 0) for name in SILVER_TABLES})
 
     report("silver, decoded in each of 13 tables", silver_parsed_in_each)
     report("silver, decoded once, bucketed",

@@ -17,22 +17,19 @@ from starsmelt.operators.quality import (
 from starsmelt.plans.gold import GOLD_TABLES, build_gold, gold_layout
 from starsmelt.plans.silver import DIMENSION_KEYS, SILVER_TABLES, build_silver, silver_layout
 from starsmelt.schemas import BRONZE_FIELDS, BRONZE_SCHEMA
-from starsmelt.sources.folders import same_folder
 from starsmelt.sources.pages import read_pages, require_pages
 from starsmelt.sources.parquet import NoRecords
 from starsmelt.sources.stage import Stage
-from starsmelt.sources.tables import (
-    create_schema,
-    load_table,
-    row_count_check,
-    write_table,
-    write_tables,
-)
+from starsmelt.sources.tables import Layer, Version, load_table, row_count_check
+
+
+LAYERS = ("bronze", "silver", "gold")
+
 
 @dataclass(frozen=True)
 class Target:
-    """Where the layers live. With ``location`` every table is a folder below it, so that another
-    application can read them without sharing the catalog; else the tables are managed.
+    """Where the layers live: below ``location``, which another application can read without sharing
+    the catalog, or else in the folders of the catalog's schemas.
 
     ``buckets`` None sizes the buckets by the row count of bronze: as many as keep a bucket within
     ``rows_per_bucket`` items, and on small data one per core while each has
@@ -48,16 +45,17 @@ class Target:
     min_rows_per_bucket: int = 20_000
 
     def table(self, layer: str, name: str) -> str:
-        schema = {"bronze": self.bronze, "silver": self.silver, "gold": self.gold}[layer]
-        return f"{schema}.{name}"
+        return f"{getattr(self, layer)}.{name}"
 
-    def path(self, layer: str, name: str) -> str | None:
-        table = self.table(layer, name).replace(".", "/")
-        return f"{self.location}/{table}" if self.location else None
+    def layer(self, spark: SparkSession, layer: str) -> Layer:
+        return Layer(spark, getattr(self, layer), self.location)
 
     def create(self, spark: SparkSession) -> None:
-        for name in (self.bronze, self.silver, self.gold):
-            create_schema(spark, name, f"{self.location}/{name}" if self.location else None)
+        """Make the schemas, and finish what a killed run began."""
+        for name in LAYERS:
+            layer = self.layer(spark, name)
+            layer.create()
+            layer.sync()
 
     def buckets_for(self, rows: int, cores: int) -> int:
         if self.buckets is not None:
@@ -69,26 +67,27 @@ class Target:
 class MedallionTables(Mapping):
     """The written tables as ``"layer.table"`` -> DataFrame, for the datasets.
 
-    A target with a location means its folders: a catalog table of the same name that lies elsewhere
-    is not read, and a missing folder raises. Iteration gives silver and gold; bronze can be read too.
+    A layer's log is read once, at its first table, so all answers come from one run of that layer
+    until :meth:`refresh`. The log in the target's folder decides: a catalog table of the same name that
+    lies elsewhere is not read, and a table that no run has written raises. Iteration gives silver and
+    gold; bronze can be read too.
     """
 
     def __init__(self, spark: SparkSession, target: Target = Target()):
         self.spark, self.target = spark, target
+        self.refresh()
+
+    def refresh(self) -> None:
+        """See what has been written since."""
+        self._layers: dict[str, Layer] = {}
+        self._current: dict[str, dict[str, Version]] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         layer, table = name.split(".")
-        full_name = self.target.table(layer, table)
-        path = self.target.path(layer, table)
-        if path and not self._lies_in(full_name, path):
-            return self.spark.read.parquet(path)
-        return self.spark.table(full_name)
-
-    def _lies_in(self, full_name: str, path: str) -> bool:
-        if not self.spark.catalog.tableExists(full_name):
-            return False
-        about = self.spark.sql(f"DESCRIBE TABLE EXTENDED {full_name}")
-        return same_folder(self.spark, about.filter("col_name = 'Location'").first()["data_type"], path)
+        if layer not in self._current:
+            self._layers[layer] = self.target.layer(self.spark, layer)
+            self._current[layer] = self._layers[layer].current()
+        return self._layers[layer].read(table, self._current[layer])
 
     def __iter__(self) -> Iterator[str]:
         yield from (f"silver.{name}" for name in SILVER_TABLES)
@@ -111,43 +110,40 @@ def load_bronze(
     to the table in one pass: pages and rows are counted while they are written, and a wrong count
     raises before the old table is replaced.
     """
-    table, path = target.table("bronze", "items"), target.path("bronze", "items")
+    layer = target.layer(spark, "bronze")
     if source_format == "parquet":
-        rows = load_table(spark, source, table, BRONZE_SCHEMA, path)
+        rows = load_table(layer, source, "items", BRONZE_SCHEMA)
     else:
         pages_seen, rows_seen = Observation(), Observation()
         records = read_pages(spark, source, BRONZE_FIELDS, pages_seen)
 
-        def verify(fresh: str) -> None:
+        def verify(written: DataFrame) -> None:
             require_pages(pages_seen, expected_pages, source)
-            if row_count_check(spark, fresh, rows_seen.get["rows"]) == 0:
+            if row_count_check(written, rows_seen.get["rows"]) == 0:
                 raise NoRecords(f"no records in {source}")
 
         counted = records.observe(rows_seen, F.count(F.lit(1)).alias("rows"))
-        write_table(counted, table, path=path, verify=verify)
+        layer.write({"items": counted}, verify=verify)
         rows = rows_seen.get["rows"]
     return rows
 
 
 def _write_layer(
-    target: Target, layer: str, built: Mapping[str, DataFrame], layout: Callable, buckets: int
+    layer: Layer, built: Mapping[str, DataFrame], layout: Callable, buckets: int
 ) -> None:
-    names = {name: target.table(layer, name) for name in built}
-    write_tables(
-        {names[name]: df for name, df in built.items()},
-        {names[name]: layout(name, buckets) for name in built},
-        {names[name]: target.path(layer, name) for name in built},
-    )
+    layer.write(built, {name: layout(name, buckets) for name in built})
 
 
 def refine_silver(spark: SparkSession, target: Target, stage: Stage, buckets: int) -> None:
-    built = build_silver(spark.table(target.table("bronze", "items")), stage)
-    _write_layer(target, "silver", built, silver_layout, buckets)
+    built = build_silver(target.layer(spark, "bronze").read("items"), stage)
+    _write_layer(target.layer(spark, "silver"), built, silver_layout, buckets)
 
 
 def refine_gold(spark: SparkSession, target: Target, buckets: int) -> None:
-    silver = {name: spark.table(target.table("silver", name)) for name in SILVER_TABLES}
-    _write_layer(target, "gold", build_gold(silver), gold_layout, buckets)
+    layer = target.layer(spark, "silver")
+    tables = layer.current()  # all of one run
+    silver = {name: layer.read(name, tables) for name in SILVER_TABLES}
+    _write_layer(target.layer(spark, "gold"), build_gold(silver), gold_layout, buckets)
 
 
 def quality_report(tables: MedallionTables) -> DataFrame:

@@ -17,20 +17,21 @@ from starsmelt.sources.parquet import (
 )
 from starsmelt.sources.stage import Stage, shared_folder
 from starsmelt.sources.tables import (
+    Layer,
+    LayerBusy,
     Layout,
     RowCountMismatch,
+    TableMissing,
+    Version,
     create_schema,
     load_table,
     read_table,
     row_count_check,
-    write_table,
-    write_tables,
 )
 
 __all__ = [
-    "Layout", "NoRecords", "PagesMissing", "RowCountMismatch", "SchemaMismatch",
-    "Stage", "create_schema",
+    "Layer", "LayerBusy", "Layout", "NoRecords", "PagesMissing", "RowCountMismatch", "SchemaMismatch",
+    "Stage", "TableMissing", "Version", "create_schema",
     "encode_nested", "land_pages", "load_table", "read_pages", "read_parquet", "read_table",
     "require_columns", "require_pages", "require_rows", "row_count_check", "shared_folder", "write_parquet",
-    "write_table", "write_tables",
 ]

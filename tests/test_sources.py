@@ -9,13 +9,13 @@ from pyspark.sql import Observation
 
 from starsmelt.schemas import BRONZE_FIELDS, BRONZE_SCHEMA
 from starsmelt.sources import (
+    Layer,
     Layout,
     NoRecords,
     PagesMissing,
     RowCountMismatch,
     SchemaMismatch,
     Stage,
-    create_schema,
     land_pages,
     load_table,
     read_pages,
@@ -26,8 +26,6 @@ from starsmelt.sources import (
     row_count_check,
     shared_folder,
     write_parquet,
-    write_table,
-    write_tables,
 )
 
 FIELDS = {"id": "bigint", "name": "string", "genres": "string"}
@@ -83,7 +81,17 @@ def test_landed_pages_are_bounded_and_lose_nothing(spark, tmp_path):
 def test_parquet_gates(spark, tmp_path):
     path = str(tmp_path / "data")
     write_parquet(spark.range(3), path)
-    assert read_parquet(spark, path, "id bigint, more string").columns == ["id", "more"]
+    assert read_parquet(spark, path, "id bigint").columns == ["id"]
+    for schema in ("id bigint, more string", "id int"):
+        with pytest.raises(SchemaMismatch):
+            read_parquet(spark, path, schema)
+    spark.range(3).selectExpr("id", "'x' AS more").write.mode("append").parquet(path)
+    assert read_parquet(spark, path, "id bigint, more string").count() == 6
+    spark.range(3).selectExpr("string(id) AS id").write.mode("append").parquet(path)
+    with pytest.raises(SchemaMismatch, match="differ"):
+        read_parquet(spark, path, "id bigint")
+    path = str(tmp_path / "three")
+    write_parquet(spark.range(3), path)
     assert require_rows(read_parquet(spark, path), "data").count() == 3
     with pytest.raises(NoRecords):
         require_rows(spark.range(0), "nothing")
@@ -92,74 +100,36 @@ def test_parquet_gates(spark, tmp_path):
 
 
 def test_table_is_replaced_and_verified(spark, tmp_path):
-    create_schema(spark, "t_tables", str(tmp_path / "t_tables"))
+    layer = Layer(spark, "t_tables", str(tmp_path))
     source = str(tmp_path / "records")
     columns = [f"CAST(NULL AS {kind}) AS `{name}`" for name, kind in BRONZE_FIELDS.items()]
     write_parquet(spark.range(5).selectExpr(*columns), source)
     for _ in range(2):
-        assert load_table(spark, source, "t_tables.items", BRONZE_SCHEMA) == 5
+        assert load_table(layer, source, "items", BRONZE_SCHEMA) == 5
     assert read_table(spark, "t_tables.items").columns == list(BRONZE_FIELDS)
     with pytest.raises(RowCountMismatch):
-        row_count_check(spark, "t_tables.items", 6)
+        row_count_check(layer.read("items"), 6)
     with pytest.raises(AnalysisException):
-        load_table(spark, str(tmp_path / "missing"), "t_tables.items", BRONZE_SCHEMA)
+        load_table(layer, str(tmp_path / "missing"), "items", BRONZE_SCHEMA)
     lacking, bare = str(tmp_path / "lacking"), str(tmp_path / "bare")
     write_parquet(spark.read.parquet(source).drop("genres"), lacking)
     write_parquet(spark.read.parquet(source).limit(0), bare)
     with pytest.raises(SchemaMismatch, match="genres"):
-        load_table(spark, lacking, "t_tables.items", BRONZE_SCHEMA)
+        load_table(layer, lacking, "items", BRONZE_SCHEMA)
     with pytest.raises(NoRecords):
-        load_table(spark, bare, "t_tables.items", BRONZE_SCHEMA)
-    assert spark.table("t_tables.items").count() == 5
+        load_table(layer, bare, "items", BRONZE_SCHEMA)
+    assert spark.table("t_tables.items").count() == layer.read("items").count() == 5
 
 
 def test_buckets_are_one_file_each(spark, tmp_path):
-    create_schema(spark, "t_buckets", str(tmp_path / "t_buckets"))
+    layer = Layer(spark, "t_buckets", str(tmp_path))
     df = spark.range(1000).selectExpr("id", "id % 3 AS g").repartition(7)
-    write_table(df, "t_buckets.a", Layout("id", ("g",), 4))
-    files = list((tmp_path / "t_buckets" / "a").glob("*.parquet"))
+    layer.write({"a": df}, {"a": Layout("id", ("g",), 4)})
+    files = list((tmp_path / "t_buckets" / "a").glob("*/*.parquet"))
     assert len(files) == 4
     assert spark.table("t_buckets.a").count() == 1000
 
 
-def test_parallel_writes_raise_the_first_failure(spark, tmp_path):
-    create_schema(spark, "t_many", str(tmp_path / "t_many"))
-    good = {f"t_many.t{i}": spark.range(i) for i in range(6)}
-    write_tables(good)
-    assert [spark.table(name).count() for name in good] == list(range(6))
-    with pytest.raises(PySparkException):
-        write_tables(
-            {"t_many.bad": spark.range(3).selectExpr("raise_error('no') AS x"),
-             **{name: spark.range(50) for name in good}, "t_many.late": spark.range(1)}, at_once=1)
-    assert [spark.table(name).count() for name in good] == list(range(6))
-    assert {table.name for table in spark.catalog.listTables("t_many")} == {f"t{i}" for i in range(6)}
-
-
-@pytest.mark.parametrize("external", [False, True])
-def test_a_failed_write_leaves_the_table_as_it_was(spark, tmp_path, external):
-    schema = f"t_safe{int(external)}"
-    create_schema(spark, schema, str(tmp_path / schema))
-    table, path = f"{schema}.a", str(tmp_path / "folder" / "a") if external else None
-    write_table(spark.range(5), table, Layout("id", (), 2), path)
-    bad = spark.range(3).selectExpr("raise_error('no') AS id")
-
-    def refuse(fresh):
-        raise RowCountMismatch(fresh)
-
-    for df, verify in ((bad, None), (spark.range(9), refuse)):
-        with pytest.raises((PySparkException, RowCountMismatch)):
-            write_table(df, table, path=path, verify=verify)
-        assert spark.table(table).count() == 5
-        if external:
-            assert spark.read.parquet(path).count() == 5
-            assert [folder.name for folder in (tmp_path / "folder").iterdir()] == ["a"]
-    write_table(spark.range(7), table, Layout("id", (), 3), path)
-    assert spark.table(table).count() == 7
-    assert [found.name for found in spark.catalog.listTables(schema)] == ["a"]
-    if external:
-        assert [folder.name for folder in (tmp_path / "folder").iterdir()] == ["a"]
-
-
 def test_a_stage_is_removed_after_its_run(spark):
     with Stage(spark) as stage:
         assert stage.put(spark.range(3), "kept").count() == 3
