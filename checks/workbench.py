@@ -23,6 +23,8 @@ _NEEDS = {
     "fact_items": ("fact_items", "dim_content_ratings"),
     "bridge_votes": ("bridge_item_votes",),
     "agg_top_tags": ("bridge_item_tags", "dim_tags"),
+    "index_item_tags": ("bridge_item_tags", "dim_tags"),
+    "index_largest_categories": ("bridge_item_categories", "dim_categories"),
     **{name: (bridge, dim) for name, (bridge, dim, _, _) in NAMED_BRIDGES.items()},
 }
 

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starsmelt.functions import null_token_to_null
+from starsmelt.operators.membership import key_bitmap, mark_members
 from starsmelt.schemas import NULL_TOKENS
 from starsmelt.sources.stage import Stage
 
@@ -63,15 +62,14 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def mark_repeats(df: DataFrame, keys: Sequence[str], repeated: DataFrame) -> DataFrame:
-    """``df`` with ``_copies``: ``all`` where the key is among ``repeated``, else ``one``.
+    """``df`` with ``_copies``: ``one`` where the key is surely not among ``repeated``, else ``all``.
 
-    One pass over the wide rows. No hint: ``repeated`` is staged, so Spark knows its size, broadcasts
-    it below ``spark.sql.autoBroadcastJoinThreshold`` and splits hot keys of a sorted join beyond.
+    One pass over the wide rows, which are not shuffled at any number of repeated keys: these become a
+    bitmap of fixed size that is broadcast (:mod:`starsmelt.operators.membership`).
     """
-    marks = repeated.select(*[F.col(key).alias(f"_dup_{key}") for key in keys], F.lit(True).alias("_dup"))
-    match = reduce(and_, [F.col(key).eqNullSafe(F.col(f"_dup_{key}")) for key in keys])
-    copies = F.when(F.col("_dup"), F.lit("all")).otherwise(F.lit("one")).alias("_copies")
-    return df.join(marks, match, "left").select(*[F.col(name) for name in df.columns], copies)
+    marked = mark_members(df, keys, key_bitmap(repeated, keys), "_again")
+    copies = F.when(F.col("_again"), F.lit("all")).otherwise(F.lit("one")).alias("_copies")
+    return marked.select(*[F.col(name) for name in df.columns], copies)
 
 
 def dedupe(
@@ -80,8 +78,9 @@ def dedupe(
     """Same rows as :func:`dedupe_by_key`, staged, ranking only rows whose key repeats.
 
     Wide records are dear to sort and few are duplicates. The repeated keys are found from the key
-    columns alone. One pass over the wide rows then stages those with a unique key apart from the
-    others, and only the others are ranked. The steps are the same at every size.
+    columns alone. One pass over the wide rows then stages those whose key is surely unique apart from
+    the others, and only the others are ranked; a unique key among them is the first of one. The steps
+    are the same at every size.
     """
     repeated = stage.put(duplicate_keys(df, keys).select(*keys), "duplicate_keys")
     path = stage.path("unique")

@@ -22,7 +22,7 @@ Tables = Mapping[str, DataFrame]
 # Fixed values of the charts.
 FIRST_YEAR = 1990
 MIN_RATINGS = 10
-TOP_CATEGORIES, TOP_TAGS, TOP_ITEMS, TOP_GROUPS = 15, 10, 20, 5
+TOP_CATEGORIES, TOP_TAGS, TOP_ITEMS = 15, 10, 20
 OTHER = "Other"
 
 
@@ -151,13 +151,16 @@ def vote_breakdown(tables, params):
 
 @_dataset("top_tags", ALL_FILTERS)
 def top_tags(tables, params):
-    """By tag name, over the silver tag tables: ids that share a name merge, names are uncleaned."""
+    """By tag name: ids that share a name merge, names are uncleaned.
+
+    The lists of the items that pass are spread out in place. An item has a name once, so rows are
+    items, and what moves is counted already.
+    """
     items = _fact(tables, params, "top_tags").select("item_id")
-    english = tables["silver.dim_tags"].filter("tag_language = 'eng'").select("tag_id", "tag_name")
+    lists = tables["gold.index_item_tags"].join(items, "item_id", "left_semi")
     return (
-        tables["silver.bridge_item_tags"].join(items, "item_id", "left_semi")
-        .join(english, "tag_id")
-        .groupBy("tag_name").agg(ITEM_COUNT("item_id").alias("item_count"))
+        lists.select(F.inline("tags"))
+        .groupBy("tag_name").agg(F.count(F.lit(1)).alias("item_count"))
         .orderBy(F.desc("item_count"), "tag_name").limit(TOP_TAGS)
     )
 
@@ -216,16 +219,13 @@ def rating_vs_usage(tables, params):
 def category_by_family(tables, params):
     """Items per family and category group: the five largest categories of all items, or 'Other'.
 
-    The five are taken over the whole bridge, whatever the dates, and a NULL name takes a place.
+    The five are taken over the whole bridge, whatever the dates, by the gold build; a NULL name takes
+    a place.
     Categories shrink to at most six groups per item before they meet the families, and both sides
     are distinct per item, so the counting needs no second pass over the joined rows.
     """
     categories = tables["gold.bridge_categories"].select("item_id", "category_name")
-    largest = (
-        categories.groupBy("category_name").agg(ITEM_COUNT("item_id").alias("n"))
-        .orderBy(F.desc("n"), F.asc("category_name")).limit(TOP_GROUPS)
-        .select(F.col("category_name").alias("top_name"))
-    )
+    largest = tables["gold.index_largest_categories"].select(F.col("category_name").alias("top_name"))
     groups = (
         categories.filter("category_name IS NOT NULL")
         .join(F.broadcast(largest), F.col("category_name") == F.col("top_name"), "left")

@@ -28,6 +28,12 @@ TOP_TAGS = "agg_top_tags"
 
 GOLD_TABLES = (FACT, *NAMED_BRIDGES, VOTES, TOP_TAGS)
 
+# Written with the tables, for the datasets: what changes only with a build is not found anew each time.
+ITEM_TAGS = "index_item_tags"
+LARGEST_CATEGORIES = "index_largest_categories"
+GOLD_INDEXES = (ITEM_TAGS, LARGEST_CATEGORIES)
+TOP_GROUPS = 5
+
 
 def gold_fact(fact: DataFrame, content_ratings: DataFrame) -> DataFrame:
     """The fact with the name of its content rating, and year and month of release."""
@@ -54,8 +60,31 @@ def top_tags(bridge: DataFrame, tags: DataFrame, size: int = 100) -> DataFrame:
     )
 
 
+def item_tags(bridge: DataFrame, tags: DataFrame) -> DataFrame:
+    """``item_id, tags``: the distinct names of an item's English tags, each in a struct, so that a NULL
+    name stays. Names are uncleaned, and an id with two names gives both, as in a join of the tables.
+
+    A list is bounded by one source record. The bridge is shuffled here, once a build, and no more.
+    """
+    english = tags.filter(F.col("tag_language") == "eng").select("tag_id", "tag_name")
+    return bridge.join(english, "tag_id").groupBy("item_id").agg(
+        F.collect_set(F.struct("tag_name")).alias("tags"))
+
+
+def largest_categories(bridge: DataFrame) -> DataFrame:
+    """The names with the most items over the whole gold bridge; a NULL name takes a place."""
+    return (
+        bridge.groupBy("category_name").agg(F.count_distinct("item_id").alias("item_count"))
+        .orderBy(F.desc("item_count"), F.asc("category_name")).limit(TOP_GROUPS)
+    )
+
+
 def gold_table(name: str, silver: Mapping[str, DataFrame]) -> DataFrame:
-    """Build one gold table, null tokens removed from its text columns."""
+    """Build one gold table, null tokens removed from its text columns, or one index."""
+    if name == ITEM_TAGS:
+        return item_tags(silver["bridge_item_tags"], silver["dim_tags"])
+    if name == LARGEST_CATEGORIES:
+        return largest_categories(gold_table("bridge_categories", silver))
     if name == FACT:
         built = gold_fact(silver["fact_items"], silver["dim_content_ratings"])
     elif name == VOTES:
@@ -69,8 +98,8 @@ def gold_table(name: str, silver: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def build_gold(silver: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """All seven tables, lazy."""
-    return {name: gold_table(name, silver) for name in GOLD_TABLES}
+    """All seven tables and the indexes, lazy."""
+    return {name: gold_table(name, silver) for name in (*GOLD_TABLES, *GOLD_INDEXES)}
 
 
 def gold_layout(name: str, buckets: int | None) -> Layout:
@@ -81,4 +110,6 @@ def gold_layout(name: str, buckets: int | None) -> Layout:
         return Layout("item_id", (NAMED_BRIDGES[name][3],), buckets)
     if name == VOTES:
         return Layout("item_id", ("vote_title",), buckets)
+    if name == ITEM_TAGS:
+        return Layout("item_id", (), buckets)
     return Layout()

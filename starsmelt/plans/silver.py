@@ -102,9 +102,6 @@ def build_silver(bronze: DataFrame, stage: Stage) -> dict[str, DataFrame]:
 
 
 def silver_layout(name: str, buckets: int | None) -> Layout:
-    """Only the tag bridge is bucketed on the item: a dataset reads it.
-
-    The others feed the gold build, which lays its own tables out; bucketing them here as well would
-    shuffle the same rows twice. An item's bridge rows come from one record, so no item is hot.
-    """
-    return Layout("item_id", ("tag_id",), buckets) if name == "bridge_item_tags" else Layout()
+    """Plain: silver feeds the gold build, which lays its own tables out; bucketing here as well would
+    shuffle the same rows twice."""
+    return Layout()

@@ -70,12 +70,10 @@ def test_dates_and_names_reach_the_scan(bench, large):
 
 
 @pytest.mark.parametrize("name", [name for name, dataset in DATASETS.items() if dataset.accepts])
-def test_no_dataset_shuffles_rows_by_item(spark, bench, large, name):
+def test_no_dataset_shuffles_rows_by_item(bench, large, name):
     """Bucketed tables join and count in place; what moves is grouped already."""
-    if name == "top_tags":  # its dimension is the one table small enough to broadcast
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "8KB")
     for params in (Params(), P5):
-        moved = [e for e in exchanges(plan(run(name, bench, params))) if "item_id" in e]
+        moved = [e for e in exchanges(plan(run(name, bench, params))) if "item_id" in e or "tag_id" in e]
         assert moved == []
 
 
@@ -110,13 +108,19 @@ def test_repeated_keys_are_found_from_the_key_column(bench, large):
     assert text.count("HashAggregate") == 2
 
 
-@pytest.mark.parametrize("threshold", ["-1", "10MB"])
-def test_repeated_records_are_marked_in_one_scan(spark, bench, large, threshold):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-    repeated = bench.stage.put(duplicate_keys(bench.bronze, ["id"]).select("id"), "repeated")
+def test_repeated_records_are_marked_in_one_scan(spark, bench, large):
+    """At any share of duplicates: half of the keys here, and nothing but the bitmap may be broadcast."""
+    repeated = bench.stage.put(bench.bronze.filter("id % 2 = 0").select("id").distinct(), "repeated")
     text = plan(mark_repeats(bench.bronze, ["id"], repeated))
     assert len(re.findall(r"FileScan .*genres", text)) == 1
-    assert ("BroadcastHashJoin" in text) == (threshold != "-1")
+    wide = text[:text.index("BroadcastExchange")]
+    assert text.count("BroadcastHashJoin") == 1 and "SortMergeJoin" not in text
+    assert exchanges(wide) == [] and len(exchanges(text)) == 1  # the one that makes the bitmap
+
+
+def test_category_groups_read_the_bridge_once(bench, large):
+    text = plan(run("category_by_family", bench, P5))
+    assert text.count("FileScan") == 4 and len(re.findall(r"FileScan .*category_name", text)) == 2
 
 
 def test_bridge_reads_one_member_and_does_not_shuffle(bench, large):

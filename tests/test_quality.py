@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from starsmelt.operators.membership import key_bitmap, mark_members
 from starsmelt.operators.quality import (
     date_rejects,
     dedupe,
@@ -123,3 +124,24 @@ def test_date_rejects(spark):
 def test_dim_key_unique_names_the_offenders(spark):
     dim = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "id bigint, name string")
     assert values(dim_key_unique(dim, "id")) == [(1, 2)]
+
+
+def test_marked_keys_are_never_missed(spark):
+    """Every member is marked, whatever its bit; of the others no more than share one."""
+    df = spark.range(60_000).selectExpr("IF(id % 7 = 0, NULL, id) AS k", "id % 5 AS j", "id", "'x' AS bucket", "1 AS words")
+    for rule in ("id % 3 = 0", "id < 70000", "id = 0", "id < 0"):
+        members = df.filter(rule).select("k", "j")
+        marked = mark_members(df, ["k", "j"], key_bitmap(members, ["k", "j"]), "again")
+        assert marked.columns == [*df.columns, "again"]
+        sure = members.distinct().withColumn("is", F.lit(True))
+        both = marked.join(sure, marked["k"].eqNullSafe(sure["k"]) & (marked["j"] == sure["j"]), "left")
+        assert both.filter("is AND NOT again").isEmpty() and both.count() == 60_000
+        assert both.filter("again AND is IS NULL").count() < 200
+
+
+@pytest.mark.parametrize("share", [2, 20, 1000])
+def test_dedupe_is_exact_at_any_share_of_repeats(spark, share):
+    rows = spark.range(6000).selectExpr(f"IF(id % {share} = 0, id % 90, id) AS k", "id % 11 AS v", "id")
+    with Stage(spark) as stage:
+        found = sorted(map(tuple, dedupe(rows, ["k"], stage).collect()))
+    assert found == sorted(map(tuple, dedupe_by_key(rows, ["k"]).collect()))
