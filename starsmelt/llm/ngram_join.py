@@ -24,6 +24,7 @@ proportion to its size. Documents with the same set are one class throughout.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -119,11 +120,13 @@ def crowding(source: DataFrame, size: int) -> np.ndarray:
 
 
 def sketches(source: DataFrame, size: int, limit: Threshold, level: np.ndarray) -> DataFrame:
-    """``doc_id, n, d1, d2, window, vector``: set size and digest, first pivots, pivot vector."""
+    """``doc_id, n, d1, d2, t1, t2, window, vector``: set size, digests of set and text, first pivots,
+    pivot vector."""
     least = limit.least()
 
     def each(ids, texts):
         n, digests, windows, vectors = [], [], [], []
+        texted = _text_digests(texts)
         for found in shingle_sets(texts, size):
             n.append(len(found))
             digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
@@ -137,11 +140,19 @@ def sketches(source: DataFrame, size: int, limit: Threshold, level: np.ndarray)
         offsets = np.concatenate([[0], np.cumsum([len(w) for w in windows])]).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
             [pa.array(ids, pa.int64()), pa.array(n, pa.int32()), pa.array(digest[:, 0]),
-             pa.array(digest[:, 1]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(windows))),
+             pa.array(digest[:, 1]), pa.array(texted[:, 0]), pa.array(texted[:, 1]),
+             pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(windows))),
              pa.array(vectors, pa.binary())],
-            names=["doc_id", "n", "d1", "d2", "window", "vector"])
+            names=["doc_id", "n", "d1", "d2", "t1", "t2", "window", "vector"])
 
-    return _scan(source, each, "doc_id long, n int, d1 long, d2 long, window array<long>, vector binary")
+    return _scan(source, each, "doc_id long, n int, d1 long, d2 long, t1 long, t2 long, "
+                               "window array<long>, vector binary")
+
+
+def _text_digests(texts: list[bytes]) -> np.ndarray:
+    """Two longs for each text, which tell apart the texts of one id."""
+    found = b"".join(hashlib.blake2b(t, digest_size=16).digest() for t in texts)
+    return np.frombuffer(found, np.int64).reshape(-1, 2)
 
 
 def _vector(found: np.ndarray) -> bytes:
@@ -314,11 +325,38 @@ def verify(pairs: DataFrame, texts: DataFrame, size: int, limit: Threshold) -> D
 def _compressed(source: DataFrame) -> DataFrame:
     def each(ids, texts):
         pack = zstandard.ZstdCompressor(level=1)
+        texted = _text_digests(texts)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array([pack.compress(t) for t in texts], pa.binary())],
-            names=["doc", "blob"])
+            [pa.array(ids, pa.int64()), pa.array(texted[:, 0]), pa.array(texted[:, 1]),
+             pa.array([pack.compress(t) for t in texts], pa.binary())], names=["doc_id", "t1", "t2", "blob"])
+
+    return _scan(source, each, "doc_id long, t1 long, t2 long, blob binary")
+
+
+#: Set sizes fall into bands, each larger by this factor; sizes that can link are a few bands apart.
+BAND = 1.02
 
-    return _scan(source, each, "doc long, blob binary")
+
+def _with_partners(met: DataFrame, percent: int) -> DataFrame:
+    """The rows of crowded regions that some row of their region may link with, by sizes and places.
+
+    ``met``: ``pivot, doc, n, at``. A set of n shingles whose first common pivot stands at ``at`` has a
+    reach of ``(100 + percent) (n - at) - percent n``; two sets can link only if the reach of each is at
+    least ``percent`` times the size of the other. A region is one row for each band of sizes, summed up
+    before it moves, and a row stays if a band near its own has the reach and a size within its own.
+    Texts of one template that differ in some words fall here: what they have in common comes last.
+    """
+    reach = (100 + percent) * (F.col("n") - F.col("at")) - percent * F.col("n")
+    band = F.floor(F.log("n") / math.log(BAND))
+    far = math.ceil(math.log(100 / percent) / math.log(BAND)) + 1
+    rows = met.withColumn("reach", reach.cast("long")).withColumn("band", band)
+    bands = rows.groupBy("pivot", "band").agg(F.max("reach").alias("most"), F.min("n").alias("least"))
+    near = bands.select(
+        F.col("pivot").alias("p"), F.explode(F.sequence(F.col("band") - far, F.col("band") + far)).alias("b"),
+        "most", "least")
+    fits = ((rows["pivot"] == near["p"]) & (rows["band"] == near["b"])
+            & (near["most"] >= percent * rows["n"]) & (rows["reach"] >= percent * near["least"]))
+    return rows.join(near, fits, "left_semi").drop("reach", "band")
 
 
 def _across(rows: DataFrame, roots: DataFrame, limit: Threshold, some: int | None) -> DataFrame:
@@ -360,31 +398,40 @@ def _across(rows: DataFrame, roots: DataFrame, limit: Threshold, some: int | Non
 
 def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4,
                    percent: int = 85) -> tuple[DataFrame, DataFrame]:
-    """Classes of equal sets, and links between classes that connect all linked documents.
-
-    The first result has a row for each row of ``docs``: ``doc_id, n_shingles, class_id``, the
-    smallest id with the same set. The second has ``node, root`` for each class with a link to
-    another: the smallest id that links reach. Rows with a null id take part in nothing; a null or
-    empty text, or one without words, has no shingles and links with nothing. Rows with the same id
-    are one document for linking.
+    """Classes of equal sets, and the classes that links connect.
+
+    The first result has a row for each row of ``docs``: ``doc_id, n_shingles, class, class_id``, a
+    number for the set and the smallest id that has it. The second has ``node, root`` for each class
+    with a link to another: its number, and the smallest id that links reach. Rows with a null id take
+    part in nothing; a null or empty text, or one without words, has no shingles and links with
+    nothing, whatever else its id has. Rows with the same id are one document: all that their texts
+    link with is linked.
     """
     limit = Threshold(percent)
     source = id_and_text(docs, id_col, text_col)
     level = crowding(source, size)
     sets = stage(sketches(source, size, limit, level), "sketches")
-    copies = sets.filter("n > 0 AND doc_id IS NOT NULL").groupBy("d1", "d2").agg(
-        F.min("doc_id").alias("class_id"), F.first("n").alias("n"), F.first("window").alias("window"),
-        F.first("vector").alias("vector"))
-    classes = stage(copies, "classes")
-    spread = classes.select(F.posexplode("window").alias("at", "pivot"), F.col("class_id").alias("doc"), "n")
+    # numbered when written, so that a number is a class for good; ids may belong to several classes
+    classes = stage(sets.filter("n > 0 AND doc_id IS NOT NULL").groupBy("d1", "d2").agg(
+        F.min(F.struct("doc_id", "t1", "t2")).alias("first"), F.first("n").alias("n"),
+        F.first("window").alias("window"), F.first("vector").alias("vector")).withColumn(
+        "doc", F.monotonically_increasing_id()), "classes")
+    keys = classes.select("doc", "d1", "d2", F.col("first.doc_id").alias("class_id"))
+    has_class = (F.col("n") > 0) & F.col("doc_id").isNotNull()
+    member = stage(sets.select("doc_id", "n", "d1", "d2").join(keys, ["d1", "d2"], "left").select(
+        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(has_class, F.col("doc")).alias("class"),
+        F.when(has_class, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id")), "members")
+    spread = classes.select(F.posexplode("window").alias("at", "pivot"), "doc", "n")
     shared = spread.groupBy("pivot").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
-    vectors = classes.select(F.col("class_id").alias("doc"), "vector")
+    vectors = classes.select("doc", "vector")
     # rows whose neighbours by size are too small and too large link with nothing in the region
     sizes = Window.partitionBy("pivot").orderBy("n")
     fits = (F.lag("n").over(sizes) * 100 >= F.col("n") * percent) | (
         F.col("n") * 100 >= F.lead("n").over(sizes) * percent)
     met = spread.join(shared, "pivot")
-    rows = stage(met.filter(F.col("m") > REGION).unionByName(
+    crowded = stage(_with_partners(met.filter(F.col("m") > REGION).drop("m"), percent), "crowded")
+    counted = crowded.groupBy("pivot").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    rows = stage(crowded.join(counted, "pivot").unionByName(
         met.filter(F.col("m") <= REGION).withColumn("fits", fits).filter("fits").drop("fits")), "regions")
     salts = F.ceil(F.col("m") / REGION).cast("int")
     salted = rows.join(vectors, "doc").select(
@@ -404,11 +451,17 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rest = rows.join(partial, "pivot").join(vectors, "doc").select("pivot", "doc", "n", "at", "vector")
     rest = stage(rest, "partial")
     needed = needed.unionByName(rest.select("doc")).distinct()
-    reps = _compressed(source.filter("doc_id IS NOT NULL"))
     # what is needed grows with the corpus: not to be broadcast at any size
-    wanted = reps.join(needed.hint("merge"), "doc", "left_semi")
-    with bucketed(wanted, "texts", "doc") as texts:
-        links = stage(verify(pairs, texts, size, limit), "links")
+    wanted = classes.select("doc", "first.*").join(needed, "doc", "left_semi")
+    reps = _compressed(source.filter("doc_id IS NOT NULL")).join(
+        wanted.hint("merge"), ["doc_id", "t1", "t2"]).select("doc", "blob").dropDuplicates(["doc"])
+    # classes of one id are one document
+    of_id = member.filter("class IS NOT NULL").groupBy("doc_id").agg(
+        F.min("class").alias("a"), F.max("class").alias("last")).filter("a < last").drop("last")
+    same = stage(member.join(of_id, "doc_id").filter(F.col("class") > F.col("a")).select(
+        "a", F.col("class").alias("b")).distinct(), "same-id")
+    with bucketed(reps, "texts", "doc") as texts:
+        links = stage(verify(pairs, texts, size, limit).unionByName(same), "links")
         roots = stage(components(links), "roots")
         for some in (*ROUNDS, None):  # a last round without a bound makes it exact
             more = stage(_across(rest, roots, limit, some).join(pairs, ["a", "b"], "left_anti"), "pairs")
@@ -419,12 +472,9 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             if extra.head(1):
                 links = links.unionByName(extra)
                 roots = stage(components(links), "roots")
-    keys = classes.select("class_id", "d1", "d2").dropDuplicates(["d1", "d2"])
-    member = sets.join(keys, ["d1", "d2"], "left").select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"),
-        F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("class_id"))
-        .otherwise(F.col("doc_id")).alias("class_id"))
-    return member, roots
+    named = roots.join(keys.select(F.col("doc").alias("node"), "class_id"), "node")
+    lowest = named.groupBy("root").agg(F.min("class_id").alias("low"))
+    return member, named.join(lowest, "root").select("node", F.col("low").alias("root"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4,
@@ -435,6 +485,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     id it is null.
     """
     member, roots = link_documents(docs, id_col, text_col, size, percent)
-    named = roots.select(F.col("node").alias("class_id"), "root")
-    return member.join(named, "class_id", "left").select(
+    named = roots.select(F.col("node").alias("class"), "root")
+    return member.join(named, "class", "left").select(
         "doc_id", "n_shingles", F.coalesce("root", "class_id").alias("component_id"))
