@@ -40,16 +40,17 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
 
     ``loss`` is the loss mask as runs over the code points of ``formatted``: ``n`` code points that
     count or do not. Runs of marks and of texts alternate, a text for each turn between two runs
-    of marks; what counts is the text of the assistant, without marks. Texts are escaped before
-    rows are shuffled, and a conversation is gathered because it is one row of the result; all
-    steps over its turns take time in proportion to them.
+    of marks; what counts is the text of the assistant, without marks. Texts are escaped after they
+    are sorted, since marks would change the order. A conversation is gathered because it is one row
+    of the result; all steps over its turns take time in proportion to them.
     """
     rows = turns.select(
         F.col(conv_col).alias("conv_id"),
         F.struct(F.col(turn_col).alias("turn"),
-                 _escape_role(F.coalesce(F.col(role_col), F.lit(""))).alias("role"),
-                 escape(F.coalesce(F.col(text_col), F.lit(""))).alias("text")).alias("turn"))
-    ordered = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list("turn")).alias("turns"))
+                 F.coalesce(F.col(role_col), F.lit("")).alias("role"),
+                 F.coalesce(F.col(text_col), F.lit("")).alias("text")).alias("turn"))
+    ordered = rows.groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list("turn")), lambda t: F.struct(
+        _escape_role(t["role"]).alias("role"), escape(t["text"]).alias("text"))).alias("turns"))
     ordered = ordered.withColumn("begins", F.filter(
         F.sequence(F.lit(0), F.size("turns") - 1),
         lambda i: (i == 0) | (F.get("turns", i)["role"] != F.get("turns", i - 1)["role"])))
@@ -138,11 +139,11 @@ marked AS (
   SELECT *, lag(role) OVER w IS DISTINCT FROM role AS opens,
          replace(replace(text, '\', '\b'), '<', '\l') AS written,
          replace(replace(replace(role, '\', '\b'), '<', '\l'), '>', '\g') AS head
-  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text))
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text))
 SELECT conv_id, count(*) AS n_turns,
-       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
        coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
-       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        sum(length(written) + CASE WHEN opens THEN length(head) + 14 ELSE 7 END)::BIGINT AS formatted_chars
 FROM marked GROUP BY conv_id
 """
