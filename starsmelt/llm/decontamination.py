@@ -9,7 +9,7 @@ cursor for each stretch of text.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -193,8 +193,8 @@ def _blocks(benchmark: DataFrame, size: int, limit: int) -> Iterator[dict[bytes,
 
 def find_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                   item_col: str = "item_id", text_col: str = "text", size: int = WINDOW,
-                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``doc_id, n_words, n_hit, spans, items`` for every document.
+                  block_bytes: int = BLOCK_BYTES, keep: Sequence[str] = ()) -> DataFrame:
+    """``doc_id, n_words, n_hit, spans, items`` for every document, and the columns ``keep`` of its row.
 
     A word is a run of ASCII digits and letters (case folded) and non-ASCII characters. A word is
     hit if it lies inside an occurrence of a window of ``size`` consecutive words of an item, or
@@ -206,7 +206,13 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     ``block_bytes`` (or one item), and documents are scanned once for each block, without a shuffle
     as long as there is one block.
     """
-    source = id_and_text(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
+    kept = [f"kept_{k}" for k in range(len(keep))]
+    source = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+        *[F.col(c).alias(name) for c, name in zip(keep, kept) if c != text_col]).withColumn(
+        "row", F.monotonically_increasing_id())
+    held = ["text" if c == text_col else name for c, name in zip(keep, kept)]  # the text goes to a task once
+    schema = ", ".join([HITS, *[f"{name} {source.schema[of].dataType.simpleString()}" for name, of in zip(kept, held)]])
     queries = id_and_text(benchmark, item_col, text_col).filter("doc_id IS NOT NULL")
     spark = docs.sparkSession
     parts = []
@@ -224,10 +230,11 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), batch.column("row"),
                      pa.array([r[0] for r in rows], pa.int64()),
-                     *[pa.array([r[k] for r in rows], pa.list_(pa.int64())) for k in (1, 2, 3)]],
-                    names=["doc_id", "row", "n_words", "hit_from", "hit_to", "items"])
+                     *[pa.array([r[k] for r in rows], pa.list_(pa.int64())) for k in (1, 2, 3)],
+                     *[batch.column(of) for of in held]],
+                    names=["doc_id", "row", "n_words", "hit_from", "hit_to", "items", *kept])
 
-        parts.append(source.mapInArrow(run, HITS))
+        parts.append(source.mapInArrow(run, schema))
     merged = parts[0]
     if len(parts) > 1:  # a row has one entry for each block: as many as there are blocks
         for other in parts[1:]:
@@ -236,14 +243,15 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             F.max("n_words").alias("n_words"),
             F.flatten(F.collect_list("hit_from")).alias("hit_from"),
             F.flatten(F.collect_list("hit_to")).alias("hit_to"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+            F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+            *[F.first(name).alias(name) for name in kept])
     spans = F.arrays_zip(F.col("hit_from").alias("begin"), F.col("hit_to").alias("end"))
     if len(parts) > 1:
         spans = _merged(F.array_sort(spans))
     return merged.select(
         "doc_id", "n_words",
         F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"]).alias("n_hit"),
-        spans.alias("spans"), "items")
+        spans.alias("spans"), "items", *[F.col(name).alias(c) for name, c in zip(kept, keep)])
 
 
 def _merged(spans):

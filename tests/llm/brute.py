@@ -10,6 +10,26 @@ from collections import Counter, defaultdict
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
+def near_rows(rows, size=4, percent=85):
+    """``id, n_shingles, component`` of every row; the texts of one id are one document, a null id none,
+    and a text without words links with nothing."""
+    texts = [(k, text) for k, (_, text) in enumerate(rows)]
+    found = near_duplicates(texts, size, percent)
+    same = {}
+    for k, (doc, _) in enumerate(rows):
+        if doc is not None and found[k][0]:
+            same.setdefault(doc, []).append(found[k][1])
+            same.setdefault(("of", found[k][1]), []).append(doc)
+    out = []
+    for k, (doc, _) in enumerate(rows):
+        reach, new = set(), {doc}
+        while new and doc is not None and found[k][0]:
+            reach |= new
+            new = {d for x in new for c in same[x] for d in same["of", c]} - reach
+        out.append((doc, found[k][0], min(reach) if reach else doc))
+    return out
+
+
 def near_duplicates(rows, size=4, percent=85):
     sets = {}
     for doc, text in rows:

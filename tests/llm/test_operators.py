@@ -75,6 +75,43 @@ def test_near_duplicates(spark, odd, empty):
     assert not ngram_join.near_duplicates(empty).collect()
 
 
+@pytest.mark.parametrize("turned", [False, True])
+def test_texts_of_one_id_are_one_document(spark, turned):
+    """Whatever any of its texts links with is linked, in every order of the rows."""
+    words = lambda tag, n=40: [f"{tag}{k}" for k in range(n)]
+    near = lambda tag: " ".join(["changed", *words(tag)[1:]])
+    whole = lambda tag: " ".join(words(tag))
+    rows = [(1, whole("a")), (5, near("a")), (5, near("b")), (9, whole("b")), (9, whole("b")), (7, whole("c")),
+            (12, near("c")), (12, None), (12, ""), (20, whole("d")), (20, whole("e")), (30, near("e")), (30, near("e")),
+            (3, whole("f")), (2, whole("f")), (2, whole("g")), (4, near("g")), (None, whole("a")), (None, None),
+            (40, "x y"), (41, "x y"), (41, "y x")]
+    rows = rows[::-1] if turned else rows
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = [tuple(r) for r in ngram_join.near_duplicates(df).collect()]
+    assert sorted(found, key=repr) == sorted(brute.near_rows(rows), key=repr)
+    roots = {doc: root for doc, n, root in found if n}
+    assert roots[9] == roots[5] == 1 and roots[12] == 7 and roots[30] == 20 and roots[4] == 2
+
+
+def test_rows_without_partners_leave_crowded_regions(spark, monkeypatch):
+    """Texts of one template with one differing word: far apart, but all share rare-looking shingles."""
+    monkeypatch.setattr(ngram_join, "REGION", 30)
+    rng = np.random.default_rng(8)
+    rows = []
+    for doc in range(300):
+        words = [f"t{k}" for k in range(24)]
+        words[int(rng.choice([1, 12, 22, 23]))] = f"x{rng.integers(250)}"
+        rows.append((doc, " ".join(words[:int(rng.choice([23, 24]))])))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r[0]: (r[1], r[2]) for r in ngram_join.near_duplicates(df).collect()}
+    assert found == brute.near_duplicates(rows)
+    met = spark.createDataFrame(
+        [(7, k, 9, 1) for k in range(50)] + [(8, 60, 100, 2), (8, 61, 104, 3), (8, 62, 300, 0), (9, 70, 10, 0), (9, 71, 9, 1)],
+        "pivot long, doc long, n int, at int")
+    kept = {r["doc"] for r in ngram_join._with_partners(met, 85).collect()}
+    assert kept >= {60, 61, 62, 70} and not kept & set(range(50))
+
+
 def test_near_duplicates_in_crowded_regions(spark, monkeypatch):
     """Many loose copies of one text, with all limits low so that every path is taken."""
     monkeypatch.setattr(ngram_join, "SMALL", 3)
@@ -214,6 +251,52 @@ def test_chats_read_back(spark):
     assert not chat.format_chats(df.limit(0)).collect()
 
 
+def test_chats_with_ties_equal_sql(spark, tmp_path):
+    """Equal and null turn numbers, and texts that escaping would put in another order."""
+    rows = [(1, 0, "user", "=a"), (1, 0, "user", "<a"), (1, 0, "user", "\\a"), (1, 0, "assistant", ">"), (1, None, "user", "z"),
+            (1, None, None, "<"), (1, 3, "a<", "q"), (1, 3, "a=", "q"), (2, None, "assistant", None), (2, None, "assistant", "<"),
+            (None, 1, "user", "x"), (None, 1, "user", "x"), (3, 2, "assistant", "="), (3, 2, "assistant", "<")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    df.coalesce(1).write.parquet(str(tmp_path / "c"))
+    duck = connect(FOLDER)
+    duck.execute(f"CREATE OR REPLACE VIEW conversations AS SELECT * FROM '{tmp_path}/c/*.parquet'")
+    assert_equal(chat.digest(chat.format_chats(chat.with_control_case(df))), duck, chat.SQL)
+    read = {r["conv_id"]: r for r in chat.read_chats(chat.format_chats(df)).collect()}
+    assert [tuple(t) for t in read[3]["turns"]] == [("assistant", "<"), ("assistant", "=")]
+
+
+def test_every_row_is_decontaminated_by_its_own_text(spark, tmp_path):
+    item = spark.read.parquet(f"{FOLDER}/benchmark.parquet").orderBy("item_id").first()["text"]
+    clean = " ".join(f"w{k}" for k in range(50))
+    rows = [(5, item), (5, clean), (None, item), (None, clean), (6, None), (6, ""), (7, clean), (7, clean), (None, None)]
+    df = spark.createDataFrame([(i, t, "en", "s", 1, "x", 2) for i, t in rows],
+                               "doc_id long, text string, lang string, source string, n_chars long, items string, row int")
+    kept = corpus_pipeline.decontaminate(spark, df, FOLDER)
+    assert sorted(texts(kept), key=repr) == sorted([r for r in rows if r[1] != item], key=repr)
+    assert kept.columns == list(corpus_pipeline.COLUMNS)
+    items = spark.read.parquet(f"{FOLDER}/benchmark.parquet")
+    found = decontamination.find_passages(df, items, block_bytes=1, keep=("text", "row"))
+    assert sorted(texts(decontamination.contaminated(found).filter("NOT contaminated")), key=repr) == sorted(
+        [r for r in rows if r[1] != item], key=repr)
+    assert {r["row"] for r in found.collect()} == {2}
+
+
+def test_stages_on_odd_rows(spark, odd, empty, tmp_path):
+    """Nulls, repeated rows, clashing columns and no rows at all, in every stage."""
+    folder = str(tmp_path)
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{FOLDER}/{name}.parquet").write.parquet(f"{folder}/{name}.parquet")
+    total = {"line dedup": len(ODD)}
+    for name, step in corpus_pipeline.STAGES:
+        some = step(spark, odd, folder)
+        assert name == "packing" or some.columns == list(corpus_pipeline.COLUMNS)
+        assert some.count() == total.get(name, some.count()) and some.count() > 0
+        assert step(spark, empty, folder).count() == 0
+    near = dict(corpus_pipeline.STAGES)["n-gram jaccard join"](spark, odd, folder)
+    kept = [doc for doc, _, root in brute.near_rows([r[:2] for r in ODD], 5, 80) if doc == root]
+    assert sorted((i for i, _ in texts(near)), key=repr) == sorted(kept, key=repr) and 1 < len(kept) < len(ODD) - 3
+
+
 def test_shards(spark, odd, empty):
     table = sharding.lookup_table(spark, 5, 101).groupBy("shard").count().collect()
     assert sorted(r["count"] for r in table) == [20, 20, 20, 20, 21]
