@@ -2,7 +2,9 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and works on all that the stage before kept. All but the
 last return the columns of ``documents``. Rows with a null id have no copies and lose no lines, but
-are classified, decontaminated by their text and packed like others.
+are classified, decontaminated by their text and packed like others. Rows that repeat an id are one
+document to the search for near copies and stay or go together, copies of one text among them; every
+other stage judges each row by its own text.
 """
 
 from __future__ import annotations
@@ -43,10 +45,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which less than one word in twenty lies in benchmark passages."""
-    found = decontamination.contaminated(
-        decontamination.find_passages(docs, read(spark, sf_dir, "benchmark")))
-    return _without(docs, found.filter("contaminated"))
+    """Rows of which less than one word in twenty lies in benchmark passages, each by its own text."""
+    found = decontamination.find_passages(docs, read(spark, sf_dir, "benchmark"), keep=COLUMNS[1:])
+    return decontamination.contaminated(found).filter("NOT contaminated").select(*COLUMNS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
