@@ -80,13 +80,14 @@ WITH lines AS (
 ), tags AS (
   SELECT DISTINCT l_orderkey AS item_id, l_partkey AS tag_id, p_name AS tag_name,
     CASE WHEN p_size % 3 = 0 THEN 'rus' ELSE 'eng' END AS tag_language FROM lines
-), s_dim_categories AS (SELECT DISTINCT category_id, category_name FROM categories),
+), s_dim_categories AS (
+  SELECT DISTINCT category_id, category_name FROM categories WHERE category_id IS NOT NULL),
 s_dim_platforms AS (SELECT DISTINCT platform_id, platform_name FROM platforms),
 s_dim_platform_families AS (
   SELECT DISTINCT platform_family_id, platform_family_name FROM families),
 s_dim_stores AS (SELECT DISTINCT store_id, store_name FROM stores),
 s_dim_tags AS (SELECT DISTINCT tag_id, tag_name, tag_language FROM tags),
-s_bridge_item_categories AS (SELECT item_id, category_id FROM categories),
+s_bridge_item_categories AS (SELECT item_id, category_id FROM categories WHERE category_id IS NOT NULL),
 s_bridge_item_platforms AS (SELECT item_id, platform_id FROM platforms),
 s_bridge_item_platform_families AS (SELECT item_id, platform_family_id FROM families),
 s_bridge_item_stores AS (SELECT item_id, store_id FROM stores),
@@ -209,6 +210,30 @@ BASE += """, item AS (
 )
 """
 
+
+def _swap(sql: str, *changes: tuple[str, str]) -> str:
+    for old, new in changes:
+        assert sql.count(old) == 1, old
+        sql = sql.replace(old, new)
+    return sql
+
+
+# The odd records of FIXTURES.md section 2.1.
+ODD_BASE = _swap(
+    BASE,
+    (_RELEASED, _RELEASED.replace("CASE ", "CASE WHEN o_orderkey % 53 = 0 THEN '2020-13-45' ", 1)),
+    ("THEN substr(o_orderpriority, 3) END",
+     "THEN substr(o_orderpriority, 3) || CASE WHEN o_orderkey % 71 = 0 THEN ' (alt)' ELSE '' END END"),
+    ("), categories AS (", "), plain_categories AS ("),
+    ("), platforms AS (", """), categories AS (
+  SELECT item_id, CASE WHEN item_id % 67 <> 0 OR category_name <> 'Brand#7' THEN category_id END AS category_id,
+    category_name || CASE WHEN item_id % 59 = 0 THEN ' (alt)' ELSE '' END AS category_name
+  FROM plain_categories, range(2) AS copies(copy) WHERE copy = 0 OR item_id % 61 = 0
+), platforms AS ("""))
+ODD_SILVER = ("fact_items", "dim_categories", "dim_content_ratings", "bridge_item_categories")
+ODD_GOLD = ("fact_items", "bridge_categories")
+ODD_DATASETS = ("kpi", "category_stats", "content_rating_dist", "category_by_family", "top_tags")
+
 _TESTS = {
     "category": "list_contains(categories, '{}')",
     "family": "list_contains(families, '{}')",
@@ -288,6 +313,67 @@ def dataset_sql(name: str, given: dict | None = None) -> str:
     return DATASET_SQL[name].replace("{items}", _picked(given or {}, ACCEPTS[name]))
 
 
+DATASET_COLUMNS = {
+    "kpi": ("total_items", "avg_rating", "median_usage_hrs", "avg_ratings_count"),
+    "category_stats": ("category_name", "item_count", "avg_rating", "avg_usage_hrs"),
+    "family_stats": ("platform_family_name", "item_count", "avg_rating"),
+    "release_trend": ("release_year", "item_count", "avg_rating"),
+    "content_rating_dist": ("content_rating", "item_count"),
+    "vote_breakdown": ("vote_title", "total_votes"),
+    "top_tags": ("tag_name", "item_count"),
+    "store_dist": ("store_name", "item_count"),
+    "top_items": ("item_name", "released", "rating", "ratings_count", "usage_hrs", "content_rating"),
+    "rating_vs_usage": ("category_name", "avg_rating", "avg_usage_hrs", "item_count"),
+    "category_by_family": ("platform_family_name", "category_group", "item_count"),
+}
+
+
+def _as_text(name: str, given: dict) -> str:
+    columns = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in DATASET_COLUMNS[name])
+    return f"SELECT '{name}' AS dataset, concat_ws('|', {columns}) AS content FROM ({dataset_sql(name, given)})"
+
+
+def _listed(source: str, text: str) -> str:
+    return f"(SELECT item_id, string_agg({text}, ';' ORDER BY {text}) AS v FROM {source} GROUP BY item_id)"
+
+
+_BRONZE_CONTENT = f"""SELECT b.id, b.name, b.released, b.tba, b.rating, b.ratings_count, b.reviews_text_count,
+  b.reviews_count, b.added, b.playtime,
+  CASE WHEN b.n IS NOT NULL THEN c.v WHEN b.id % 2 = 0 THEN '' END AS categories,
+  CASE WHEN b.n IS NOT NULL THEN p.v WHEN b.id % 2 = 0 THEN '' END AS platforms,
+  CASE WHEN b.n IS NOT NULL THEN f.v WHEN b.id % 2 = 0 THEN '' END AS families,
+  CASE WHEN b.n IS NOT NULL THEN s.v WHEN b.id % 2 = 0 THEN '' END AS stores,
+  CASE WHEN b.n IS NOT NULL THEN t.v WHEN b.id % 2 = 0 THEN '' END AS tags,
+  CASE WHEN b.n IS NOT NULL THEN v.v WHEN b.id % 2 = 0 THEN '' END AS votes,
+  status_o AS yet, status_f AS owned, flag_a AS beaten, flag_n AS toplay, flag_r AS dropped, no_discount AS playing,
+  content_rating_id, content_rating, TRUE AS no_media
+FROM bronze b
+LEFT JOIN {_listed("categories", "category_id || ':' || category_name")} c ON c.item_id = b.id
+LEFT JOIN {_listed("platforms", "platform_id || ':' || platform_name")} p ON p.item_id = b.id
+LEFT JOIN {_listed("families", "platform_family_id || ':' || platform_family_name")} f ON f.item_id = b.id
+LEFT JOIN {_listed("stores", "store_id || ':' || store_name")} s ON s.item_id = b.id
+LEFT JOIN {_listed("tags", "tag_id || ':' || tag_name || ':' || tag_language")} t ON t.item_id = b.id
+LEFT JOIN {_listed("s_bridge_item_votes", "vote_id || ':' || vote_title || ':' || vote_count")} v ON v.item_id = b.id"""
+_GATES = " UNION ALL ".join(
+    f"SELECT '{case}' AS input, '{raised}' AS raised, (SELECT count(*) FROM bronze) AS rows_left"
+    for case, raised in (
+        ("no_rows", "NoRecords"), ("no_pages", "NoRecords"), ("missing_path", "AnalysisException"),
+        ("missing_pages", "AnalysisException"), ("absent_column", "SchemaMismatch"), ("too_few_pages", "PagesMissing")))
+_VARIANTS = lambda: _row_counts(
+    {dim: _variants(dim, key) for dim, key in KEYS.items()}, "dimension", "keys_with_variants")
+
+
+def _report() -> str:
+    return f"""
+          SELECT 'total_rows' AS "check", count(*) AS found FROM bronze
+          UNION ALL SELECT 'distinct_keys', count(*) FROM record
+          UNION ALL SELECT 'removed_rows', (SELECT count(*) FROM bronze) - (SELECT count(*) FROM record)
+          UNION ALL SELECT 'date_rejects', count(*) FROM bronze
+            WHERE {_clean('released')} IS NOT NULL AND TRY_CAST(released AS DATE) IS NULL
+          UNION ALL """ + _row_counts(
+        {f"{dim}_variants": _variants(dim, key) for dim, key in KEYS.items()}, '"check"', "found")
+
+
 def _row_counts(parts: dict[str, str], label: str, count: str) -> str:
     return " UNION ALL ".join(
         f"SELECT '{name}' AS {label}, count(*) AS {count} FROM ({sql})" for name, sql in parts.items())
@@ -319,16 +405,8 @@ def oracle_sql() -> dict[str, str]:
           FROM bronze""",
         "date_rejects": """SELECT count(*) AS date_rejects FROM bronze
           WHERE released IS NOT NULL AND TRY_CAST(released AS DATE) IS NULL""",
-        "dim_key_violations": _row_counts(
-            {dim: _variants(dim, key) for dim, key in KEYS.items()}, "dimension", "keys_with_variants"),
-        "quality_report": f"""
-          SELECT 'total_rows' AS "check", count(*) AS found FROM bronze
-          UNION ALL SELECT 'distinct_keys', count(*) FROM record
-          UNION ALL SELECT 'removed_rows', (SELECT count(*) FROM bronze) - (SELECT count(*) FROM record)
-          UNION ALL SELECT 'date_rejects', count(*) FROM bronze
-            WHERE {_clean('released')} IS NOT NULL AND TRY_CAST(released AS DATE) IS NULL
-          UNION ALL """ + _row_counts(
-            {f"{dim}_variants": _variants(dim, key) for dim, key in KEYS.items()}, '"check"', "found"),
+        "dim_key_violations": _VARIANTS(),
+        "quality_report": _report(),
         **{f"silver_{name}": f"SELECT * FROM s_{name}" for name in SILVER},
         "silver_write_all": _row_counts(
             {name: f"SELECT * FROM s_{name}" for name in SILVER}, "table_name", "row_count"),
@@ -341,6 +419,9 @@ def oracle_sql() -> dict[str, str]:
         **{f"{name}_filtered": dataset_sql(name, ALL_FIVE) for name in filtered},
         "apply_to_all": _row_counts(
             {name: dataset_sql(name, ALL_FIVE) for name in filtered}, "dataset", "row_count"),
+        "apply_to_all_content": " UNION ALL ".join(_as_text(name, ALL_FIVE) for name in filtered),
+        "bronze_content": _BRONZE_CONTENT,
+        "gates": _GATES,
         **{f"feed_{name}": f"SELECT {columns} FROM ({dataset_sql(dataset)})"
            for name, (dataset, columns) in FEED_COLUMNS.items()},
         "feed_all": " UNION ALL ".join(
@@ -348,7 +429,15 @@ def oracle_sql() -> dict[str, str]:
             f"FROM ({dataset_sql(dataset)})" for name, (dataset, columns) in FEED_COLUMNS.items()),
         "medallion_end_to_end": dataset_sql("kpi"),
     }
+    odd = {
+        **{f"odd_silver_{name}": f"SELECT * FROM s_{name}" for name in ODD_SILVER},
+        **{f"odd_gold_{name}": f"SELECT * FROM g_{name}" for name in ODD_GOLD},
+        **{f"odd_{name}": dataset_sql(name) for name in ODD_DATASETS},
+        "odd_dim_key_violations": _VARIANTS(),
+        "odd_quality_report": _report(),
+    }
     sql = {name: f"{BASE} {body}" for name, body in sql.items()}
+    sql |= {name: f"{ODD_BASE} {body}" for name, body in odd.items()}
     sql["dedupe_by_key"] = """
       SELECT * EXCLUDE (rn) FROM (
         SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY

@@ -22,7 +22,7 @@ from starsmelt.operators.filters import Params, apply_filters
 from starsmelt.plans.datasets import DATASETS, apply_to_all, run
 from starsmelt.plans.feeds import FEEDS, feed
 from starsmelt.plans.gold import GOLD_TABLES
-from starsmelt.plans.medallion import quality_report
+from starsmelt.plans.medallion import MedallionTables, load_bronze, quality_report
 from starsmelt.plans.silver import DIMENSION_KEYS, SILVER_TABLES
 from starsmelt.schemas import BRONZE_SCHEMA, DECODED_COLUMNS, SCALAR_FIELDS
 from starsmelt.sources import (
@@ -156,6 +156,78 @@ def apply_to_all_rows(spark, folder):
     return _one_row_each(apply_to_all(workbench(spark, folder), P5), "dataset", "row_count")
 
 
+def _as_text(df: DataFrame) -> F.Column:
+    return F.concat_ws("|", *[F.coalesce(F.col(name).cast("string"), F.lit("~")) for name in df.columns])
+
+
+def apply_to_all_content(spark, folder):
+    """Every row of every dataset that one selection narrows, as text."""
+    found = apply_to_all(workbench(spark, folder), P5)
+    return reduce(DataFrame.unionByName, [
+        df.select(F.lit(name).alias("dataset"), _as_text(df).alias("content")) for name, df in found.items()])
+
+
+def bronze_content(spark, folder):
+    """Every element that the JSON columns of bronze hold, read back from the text."""
+    decoded = parse_json_columns(workbench(spark, folder).bronze, DECODED_COLUMNS)
+
+    def listed(column: str, *fields: str):
+        def element(x):
+            values = [reduce(lambda value, part: value[part], field.split("."), x) for field in fields]
+            return F.concat_ws(":", *[F.coalesce(v.cast("string"), F.lit("~")) for v in values])
+        return F.array_join(F.array_sort(F.transform(column, element)), ";")
+
+    return decoded.select(
+        *SCALAR_FIELDS, listed("_categories", "id", "name").alias("categories"),
+        listed("_platforms", "platform.id", "platform.name").alias("platforms"),
+        listed("_platform_families", "platform.id", "platform.name").alias("families"),
+        listed("_stores", "store.id", "store.name").alias("stores"),
+        listed("_tags", "id", "name", "language").alias("tags"),
+        listed("_votes", "id", "title", "count").alias("votes"),
+        F.col("_status.yet").alias("yet"), F.col("_status.owned").alias("owned"),
+        F.col("_status.beaten").alias("beaten"), F.col("_status.toplay").alias("toplay"),
+        F.col("_status.dropped").alias("dropped"), F.col("_status.playing").alias("playing"),
+        F.col("_content_rating.id").alias("content_rating_id"),
+        F.col("_content_rating.name").alias("content_rating"),
+        (F.col("short_screenshots").isNull() & F.col("clip").isNull()).alias("no_media"))
+
+
+def gates(spark, folder):
+    """What a load from bad input raises, and the rows that the table still has."""
+    bench = workbench(spark, folder)
+    target = bench.new_target()
+    load_bronze(spark, bench.pages, target)
+    lacking, bare, pages = (bench.stage.path(name) for name in ("lacking", "bare", "no_pages"))
+    write_parquet(bench.bronze.drop("genres"), lacking)
+    write_parquet(bench.bronze.filter("id IS NULL AND id IS NOT NULL"), bare)
+    bench.bronze.filter("false").selectExpr("name").write.text(pages)
+    rows = []
+    for case, source, kind, expected in (
+            ("no_rows", bare, "parquet", None), ("no_pages", pages, "pages", None),
+            ("missing_path", f"{bare}/nowhere", "parquet", None), ("missing_pages", f"{bare}/nowhere", "pages", None),
+            ("absent_column", lacking, "parquet", None), ("too_few_pages", bench.pages, "pages", 10**12)):
+        try:
+            load_bronze(spark, source, target, kind, expected)
+            raised = "nothing"
+        except Exception as failure:
+            raised = type(failure).__name__
+        left = MedallionTables(spark, target)["bronze.items"]
+        rows.append(left.agg(F.count(F.lit(1)).alias("rows_left")).select(
+            F.lit(case).alias("input"), F.lit(raised).alias("raised"), "rows_left"))
+    return reduce(DataFrame.unionByName, rows)
+
+
+def odd_dim_key_violations(spark, folder):
+    bench = workbench(spark, folder, odd=True)
+    return _one_row_each(
+        {name: dim_key_unique(bench[f"silver.{name}"], key) for name, key in DIMENSION_KEYS.items()},
+        "dimension", "keys_with_variants")
+
+
+def odd_quality_report(spark, folder):
+    return quality_report(workbench(spark, folder, odd=True).end_to_end)
+
+
 def feed_all(spark, folder):
     bench = workbench(spark, folder)
     rows = [
@@ -189,6 +261,23 @@ def _feed(name: str) -> Query:
     return lambda spark, folder: feed(name, workbench(spark, folder))
 
 
+def _odd_silver(name: str) -> Query:
+    return lambda spark, folder: workbench(spark, folder, odd=True).build_silver(name)
+
+
+def _odd_gold(name: str) -> Query:
+    return lambda spark, folder: workbench(spark, folder, odd=True).build_gold(name)
+
+
+def _odd_dataset(name: str) -> Query:
+    return lambda spark, folder: run(name, workbench(spark, folder, odd=True))
+
+
+# Tables and datasets that the odd records change.
+ODD_SILVER = ("fact_items", "dim_categories", "dim_content_ratings", "bridge_item_categories")
+ODD_GOLD = ("fact_items", "bridge_categories")
+ODD_DATASETS = ("kpi", "category_stats", "content_rating_dist", "category_by_family", "top_tags")
+
 QUERIES: dict[str, Query] = {
     "page_flatten": page_flatten,
     "json_round_trip": json_round_trip,
@@ -208,6 +297,14 @@ QUERIES: dict[str, Query] = {
     **{name: _dataset(name) for name in DATASETS},
     **{f"{name}_filtered": _dataset(name, P5) for name, ds in DATASETS.items() if ds.accepts},
     "apply_to_all": apply_to_all_rows,
+    "apply_to_all_content": apply_to_all_content,
+    "bronze_content": bronze_content,
+    "gates": gates,
+    **{f"odd_silver_{name}": _odd_silver(name) for name in ODD_SILVER},
+    **{f"odd_gold_{name}": _odd_gold(name) for name in ODD_GOLD},
+    **{f"odd_{name}": _odd_dataset(name) for name in ODD_DATASETS},
+    "odd_dim_key_violations": odd_dim_key_violations,
+    "odd_quality_report": odd_quality_report,
     **{f"feed_{name}": _feed(name) for name in FEEDS},
     "feed_all": feed_all,
     "medallion_end_to_end": medallion_end_to_end,

@@ -119,6 +119,26 @@ def records_from_star(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def odd_records(records: DataFrame) -> DataFrame:
+    """The same records with what sources get wrong, by the rules of FIXTURES.md section 2.1."""
+    k = F.col("id")
+    alt = F.lit(" (alt)")
+
+    def category(c):
+        name = F.when(k % 59 == 0, F.concat(c["name"], alt)).otherwise(c["name"])
+        number = F.when((k % 67 != 0) | (c["name"] != "Brand#7"), c["id"])
+        return F.struct(number.alias("id"), name.alias("name"))
+
+    genres = F.transform("genres", category)
+    rating = F.col("esrb_rating")
+    return records.withColumns({
+        "released": F.when(k % 53 == 0, "2020-13-45").otherwise(F.col("released")),
+        "genres": F.when(k % 61 == 0, F.concat(genres, genres)).otherwise(genres),
+        "esrb_rating": F.when((k % 71 == 0) & rating.isNotNull(), F.struct(
+            rating["id"].alias("id"), F.concat(rating["name"], alt).alias("name"))).otherwise(rating),
+    })
+
+
 def to_bronze(records: DataFrame) -> DataFrame:
     """Records in bronze form: nested fields as JSON text."""
     encoded = encode_nested(records, list(NESTED_FIELDS))
