@@ -422,17 +422,19 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(has_class, F.col("doc")).alias("class"),
         F.when(has_class, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id")), "members")
     spread = classes.select(F.posexplode("window").alias("at", "pivot"), "doc", "n")
-    shared = spread.groupBy("pivot").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    shared = stage(spread.groupBy("pivot").agg(F.count(F.lit(1)).alias("m")).filter("m > 1"), "shared")
     vectors = classes.select("doc", "vector")
     # rows whose neighbours by size are too small and too large link with nothing in the region
     sizes = Window.partitionBy("pivot").orderBy("n")
     fits = (F.lag("n").over(sizes) * 100 >= F.col("n") * percent) | (
         F.col("n") * 100 >= F.lead("n").over(sizes) * percent)
-    met = spread.join(shared, "pivot")
-    crowded = stage(_with_partners(met.filter(F.col("m") > REGION).drop("m"), percent), "crowded")
+    # crowded pivots are few, at most one for REGION rows, and meet the rows apart from the others
+    crowds = stage(shared.filter(F.col("m") > REGION).select("pivot"), "crowds")
+    crowded = stage(_with_partners(spread.join(crowds, "pivot"), percent), "crowded")
     counted = crowded.groupBy("pivot").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    met = spread.join(shared.filter(F.col("m") <= REGION), "pivot")
     rows = stage(crowded.join(counted, "pivot").unionByName(
-        met.filter(F.col("m") <= REGION).withColumn("fits", fits).filter("fits").drop("fits")), "regions")
+        met.withColumn("fits", fits).filter("fits").drop("fits")), "regions")
     salts = F.ceil(F.col("m") / REGION).cast("int")
     salted = rows.join(vectors, "doc").select(
         "pivot", "m", "doc", "n", "at", "vector", salts.alias("salts"),
@@ -454,7 +456,7 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # what is needed grows with the corpus: not to be broadcast at any size
     wanted = classes.select("doc", "first.*").join(needed, "doc", "left_semi")
     reps = _compressed(source.filter("doc_id IS NOT NULL")).join(
-        wanted.hint("merge"), ["doc_id", "t1", "t2"]).select("doc", "blob").dropDuplicates(["doc"])
+        wanted.hint("merge"), ["doc_id", "t1", "t2"]).dropDuplicates(["doc_id", "t1", "t2"]).select("doc", "blob")
     # classes of one id are one document
     of_id = member.filter("class IS NOT NULL").groupBy("doc_id").agg(
         F.min("class").alias("a"), F.max("class").alias("last")).filter("a < last").drop("last")
