@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from starsmelt.functions import stable_round
 from starsmelt.operators.filters import ALL_FILTERS, NOT_RATED, Params, apply_filters
 from starsmelt.operators.ranking import distinct_top
+from starsmelt.plans.gold import INDEX_BUILDERS, ITEM_TAGS, LARGEST_CATEGORIES
 
 Tables = Mapping[str, DataFrame]
 
@@ -46,6 +47,14 @@ def _fact(tables: Tables, params: Params, name: str) -> DataFrame:
     return apply_filters(tables["gold.fact_items"], tables, params, DATASETS[name].accepts)
 
 
+def _index(tables: Tables, name: str, *sources: str) -> DataFrame:
+    """What the gold build wrote along with its tables, or the same rows made now from tables without it."""
+    try:
+        return tables[f"gold.{name}"]
+    except KeyError:
+        return INDEX_BUILDERS[name](*[tables[source] for source in sources])
+
+
 DATES = frozenset({"date_from", "date_to"})
 ITEM_COUNT = F.count_distinct  # items are counted once per group, however many rows they have
 
@@ -157,7 +166,8 @@ def top_tags(tables, params):
     items, and what moves is counted already.
     """
     items = _fact(tables, params, "top_tags").select("item_id")
-    lists = tables["gold.index_item_tags"].join(items, "item_id", "left_semi")
+    lists = _index(tables, ITEM_TAGS, "silver.bridge_item_tags", "silver.dim_tags").join(
+        items, "item_id", "left_semi")
     return (
         lists.select(F.inline("tags"))
         .groupBy("tag_name").agg(F.count(F.lit(1)).alias("item_count"))
@@ -225,7 +235,8 @@ def category_by_family(tables, params):
     are distinct per item, so the counting needs no second pass over the joined rows.
     """
     categories = tables["gold.bridge_categories"].select("item_id", "category_name")
-    largest = tables["gold.index_largest_categories"].select(F.col("category_name").alias("top_name"))
+    largest = _index(tables, LARGEST_CATEGORIES, "gold.bridge_categories").select(
+        F.col("category_name").alias("top_name"))
     groups = (
         categories.filter("category_name IS NOT NULL")
         .join(F.broadcast(largest), F.col("category_name") == F.col("top_name"), "left")

@@ -79,6 +79,9 @@ def largest_categories(bridge: DataFrame) -> DataFrame:
     )
 
 
+INDEX_BUILDERS = {ITEM_TAGS: item_tags, LARGEST_CATEGORIES: largest_categories}
+
+
 def gold_table(name: str, silver: Mapping[str, DataFrame]) -> DataFrame:
     """Build one gold table, null tokens removed from its text columns, or one index."""
     if name == ITEM_TAGS:
@@ -98,8 +101,13 @@ def gold_table(name: str, silver: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def build_gold(silver: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """All seven tables and the indexes, lazy."""
-    return {name: gold_table(name, silver) for name in (*GOLD_TABLES, *GOLD_INDEXES)}
+    """All seven tables, lazy."""
+    return {name: gold_table(name, silver) for name in GOLD_TABLES}
+
+
+def build_indexes(silver: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """What is written along with the tables, lazy."""
+    return {name: gold_table(name, silver) for name in GOLD_INDEXES}
 
 
 def gold_layout(name: str, buckets: int | None) -> Layout:

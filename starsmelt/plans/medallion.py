@@ -14,7 +14,7 @@ from starsmelt.operators.quality import (
     dim_key_unique,
     null_tokens_to_null,
 )
-from starsmelt.plans.gold import GOLD_TABLES, build_gold, gold_layout
+from starsmelt.plans.gold import GOLD_TABLES, build_gold, build_indexes, gold_layout
 from starsmelt.plans.silver import DIMENSION_KEYS, SILVER_TABLES, build_silver, silver_layout
 from starsmelt.schemas import BRONZE_FIELDS, BRONZE_SCHEMA
 from starsmelt.sources.pages import read_pages, require_pages
@@ -143,7 +143,7 @@ def refine_gold(spark: SparkSession, target: Target, buckets: int) -> None:
     layer = target.layer(spark, "silver")
     tables = layer.current()  # all of one run
     silver = {name: layer.read(name, tables) for name in SILVER_TABLES}
-    _write_layer(target.layer(spark, "gold"), build_gold(silver), gold_layout, buckets)
+    _write_layer(target.layer(spark, "gold"), {**build_gold(silver), **build_indexes(silver)}, gold_layout, buckets)
 
 
 def quality_report(tables: MedallionTables) -> DataFrame:

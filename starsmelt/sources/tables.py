@@ -39,7 +39,7 @@ class RowCountMismatch(ValueError):
     """A table does not hold the rows it was loaded from."""
 
 
-class TableMissing(LookupError):
+class TableMissing(KeyError):
     """No run has written this table to its layer."""
 
 
