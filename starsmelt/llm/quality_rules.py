@@ -21,10 +21,18 @@ MEASURES = {
     "dup_lines": ("n_dup_lines", "n_lines", 1000, 1000),
     "word_length": ("word_chars", "n_words", 100, 10_000),
 }
-#: Fences lie this many spreads beyond the quartiles; a spread is the distance of the quartiles,
-#: and at least the floor in bins, so that a uniform group does not reject what is hardly different.
-SPREADS = 6
-FLOORS = {"symbols": 20, "repeats": 40, "dup_lines": 80, "word_length": 80}
+#: measure -> (percent of the low rank, of the high rank, half spreads to the fence, least spread).
+#: A spread is the distance of the two ranks and at least so many bins. Symbols go by the median, so
+#: that a group may be junk by nearly a half; repeats are 0 in most clean texts but not in all, so
+#: their fences start from the tail. A least spread keeps a group of copies from rejecting the rest.
+RANKS = {
+    "symbols": (25, 50, 12, 4),
+    "repeats": (50, 99, 3, 4),
+    "dup_lines": (50, 99, 3, 4),
+    "word_length": (25, 75, 12, 25),
+}
+#: The ranks of a language, or of the corpus for a language, count like this many rows of the group.
+PRIOR = 100
 
 
 def _joined(name: str, step: int) -> Column:
@@ -91,24 +99,53 @@ def bins(counts: DataFrame) -> DataFrame:
         for name, spec in MEASURES.items()])).alias("m")).select("lang", "source", "m.*")
 
 
+def _of_measure(place: int) -> Column:
+    """An entry of ``RANKS`` for the row's measure."""
+    pairs = [F.lit(x) for name, spec in RANKS.items() for x in (name, spec[place])]
+    return F.element_at(F.create_map(*pairs), F.col("measure")).cast("long")
+
+
+def _ranks(sketch: DataFrame, by: tuple[str, ...], name: str) -> DataFrame:
+    """Rows, low and high rank of each measure of the groups ``by``: ``name_n, name_low, name_high``.
+
+    A rank is the first bin with its share of the rows below or in it. Sketches of a group add up to
+    those of its language and of the corpus.
+    """
+    keys = (*by, "measure")
+    merged = sketch.groupBy(*keys, "bin").agg(F.sum("n").alias("n"))
+    group = Window.partitionBy(*keys)
+    upto = group.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    summed = merged.select("*", F.sum("n").over(upto).alias("below"), F.sum("n").over(group).alias("total"))
+    rank = lambda place: F.min(F.when(
+        F.col("below") * 100 >= F.col("total") * _of_measure(place), F.col("bin")))
+    return summed.groupBy(*keys).agg(F.max("total").alias(f"{name}_n"), rank(0).alias(f"{name}_low"),
+                                     rank(1).alias(f"{name}_high"))
+
+
 def fences(counts: DataFrame) -> DataFrame:
     """``lang, source`` and a lowest and highest bin for each measure.
 
     Histograms are added up within each task before they are shuffled, so a hot source sends as
-    few rows as any other, and a group has at most as many rows as there are bins. The quartiles
-    are the first bins with a quarter and three quarters of the rows below or in them.
+    few rows as any other, and a group has at most as many rows as there are bins; they are staged,
+    so languages and the corpus are added up from them and not from texts. Ranks of a group are
+    averaged with its language's, and those with the corpus's, weighted by rows: a group of few texts
+    is judged by its language, a large one by itself.
     """
-    sketch = bins(counts).groupBy("lang", "source", "measure", "bin").agg(F.count(F.lit(1)).alias("n"))
-    group = Window.partitionBy("lang", "source", "measure")
-    upto = group.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = sketch.select("*", F.sum("n").over(upto).alias("below"), F.sum("n").over(group).alias("total"))
-    quartile = lambda k: F.min(F.when(F.col("below") * 4 >= F.col("total") * k, F.col("bin")))
-    floor = F.element_at(F.create_map(*[F.lit(x) for kv in FLOORS.items() for x in kv]), F.col("measure"))
-    quartiles = ranked.groupBy("lang", "source", "measure").agg(
-        quartile(1).alias("q1"), quartile(3).alias("q3"))
-    spread = F.greatest(F.col("q3") - F.col("q1"), floor.cast("long")) * SPREADS
-    bounds = quartiles.select("lang", "source", "measure", (F.col("q1") - spread).alias("low"),
-                              (F.col("q3") + spread).alias("high"))
+    sketch = stage(bins(counts).groupBy("lang", "source", "measure", "bin").agg(
+        F.count(F.lit(1)).alias("n")), "sketch")
+    own, corpus = _ranks(sketch, ("lang", "source"), "own"), _ranks(sketch, (), "corpus")
+    language = _ranks(sketch, ("lang",), "lang").join(corpus, "measure").select(
+        F.col("lang").alias("of_lang"), F.col("measure").alias("of_measure"), *[
+            F.expr(f"(lang_n * lang_{side} + {PRIOR} * corpus_{side}) div (lang_n + {PRIOR})").alias(f"parent_{side}")
+            for side in ("low", "high")])
+    drawn = own.join(language, F.col("lang").eqNullSafe(F.col("of_lang"))
+                     & (F.col("measure") == F.col("of_measure"))).select("lang", "source", "measure", *[
+        F.expr(f"(own_n * own_{side} + {PRIOR} * parent_{side}) div (own_n + {PRIOR})").alias(side)
+        for side in ("low", "high")])
+    spread = F.greatest(F.col("high") - F.col("low"), _of_measure(3))
+    bounds = drawn.withColumn("reach", spread * _of_measure(2)).select(
+        "lang", "source", "measure", F.expr("low - reach div 2").alias("low"),
+        F.expr("high + reach div 2").alias("high"))
     return bounds.groupBy("lang", "source").agg(*[
         F.max(F.when(F.col("measure") == name, F.col(side))).alias(f"{name}_{side}")
         for name in MEASURES for side in ("low", "high")])
@@ -120,6 +157,7 @@ def apply_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     A text is kept if it passes the base rules and every measure lies within the fences of its
     language and source. Null languages and sources are groups like any other; a null text fails.
+    A language or source of one text is judged by its parent and itself, see :data:`PRIOR`.
     Repeated rows count each. Counts are staged, so texts are read once.
     """
     named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
@@ -140,8 +178,19 @@ def _sql() -> str:
     value = {name: f"least(({part} * {scale}) // greatest({of}, 1), {top})"
              for name, (part, of, scale, top) in MEASURES.items()}
     union = " UNION ALL ".join(
-        f"SELECT lang, source, '{n}' AS measure, {FLOORS[n]} AS flr, {v} AS bin FROM based WHERE NOT base_failed"
+        f"SELECT lang, source, '{n}' AS measure, {v} AS bin FROM based WHERE NOT base_failed"
         for n, v in value.items())
+    spec = ", ".join(f"('{n}', {lo}, {hi}, {halves}, {least})" for n, (lo, hi, halves, least) in RANKS.items())
+
+    def ranks(keys: str) -> str:
+        return (f"SELECT {keys}, count(*) AS n, min(bin) FILTER (place * 100 >= n_all * lo) AS low, "
+                f"min(bin) FILTER (place * 100 >= n_all * hi) AS high FROM (SELECT *, "
+                f"row_number() OVER (PARTITION BY {keys} ORDER BY bin) AS place, "
+                f"count(*) OVER (PARTITION BY {keys}) AS n_all FROM vals JOIN spec USING (measure)) GROUP BY {keys}")
+
+    def drawn(own: str, parent: str) -> str:
+        return ", ".join(f"({own}.n * {own}.{side} + {PRIOR} * {parent}.{side}) // ({own}.n + {PRIOR}) AS {side}"
+                         for side in ("low", "high"))
     inside = " AND ".join(
         f"coalesce(({v}) BETWEEN max(low) FILTER (measure = '{n}') AND max(high) FILTER (measure = '{n}'), false)"
         for n, v in value.items())
@@ -160,13 +209,14 @@ counts AS (SELECT c.doc_id, lang, source, len(words)::BIGINT AS n_words,
   coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words FROM cut c LEFT JOIN reps USING (doc_id)),
 based AS (SELECT *, n_words < 20 OR n_repeat_words * 100 > n_words * 30 AS base_failed FROM counts),
 vals AS ({union}),
-hist AS (SELECT lang, source, measure, any_value(flr) AS flr, bin, count(*) AS n FROM vals GROUP BY lang, source, measure, bin),
-cum AS (SELECT *, sum(n) OVER (PARTITION BY lang, source, measure ORDER BY bin) AS below,
-        sum(n) OVER (PARTITION BY lang, source, measure) AS total FROM hist),
-quart AS (SELECT lang, source, measure, any_value(flr) AS flr, min(bin) FILTER (below * 4 >= total) AS q1,
-          min(bin) FILTER (below * 4 >= total * 3) AS q3 FROM cum GROUP BY lang, source, measure),
-lim AS (SELECT lang, source, measure, q1 - greatest(q3 - q1, flr) * {SPREADS} AS low,
-        q3 + greatest(q3 - q1, flr) * {SPREADS} AS high FROM quart)
+spec(measure, lo, hi, halves, least_spread) AS (VALUES {spec}),
+own AS ({ranks("lang, source, measure")}), whole AS ({ranks("measure")}),
+lang_own AS ({ranks("lang, measure")}),
+lang_all AS (SELECT l.lang, l.measure, {drawn("l", "w")} FROM lang_own l JOIN whole w USING (measure)),
+mixed AS (SELECT o.lang, o.source, o.measure, {drawn("o", "p")} FROM own o
+          JOIN lang_all p ON o.measure = p.measure AND o.lang IS NOT DISTINCT FROM p.lang),
+lim AS (SELECT lang, source, measure, low - greatest(high - low, least_spread) * halves // 2 AS low,
+        high + greatest(high - low, least_spread) * halves // 2 AS high FROM mixed JOIN spec USING (measure))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND {inside} AS kept
 FROM based b LEFT JOIN lim l ON b.lang IS NOT DISTINCT FROM l.lang AND b.source IS NOT DISTINCT FROM l.source

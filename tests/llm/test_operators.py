@@ -3,6 +3,7 @@ from __future__ import annotations
 import sys
 from pathlib import Path
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -313,6 +314,26 @@ def test_rules(spark, odd, empty):
     assert not quality_rules.apply_rules(empty).collect()
 
 
+def test_fences_hold_where_junk_is_a_quarter_or_a_group_of_its_own(spark):
+    """Clean texts stay and junk goes: in a hot source, in a group of one, among copies; SQL agrees."""
+    def text(i, mark=""):
+        return " ".join(f"{mark}{'abcdefgh'[: 3 + (i * 7 + k) % 5]}{chr(97 + (i + k) % 26)}{chr(97 + k % 26)}"
+                        for k in range(40))
+
+    rows = [(i, text(i), "en", "hot") for i in range(90)]
+    rows += [(100 + i, text(i, "#$%"), "en", "hot") for i in range(30)]
+    rows += [(200, text(1, "#$%"), "xx", "alone"), (201, text(2), None, None), (202, None, "en", "hot")]
+    rows += [(300 + i, text(3), "de", "copies") for i in range(60)] + [(400, text(4), "de", "copies")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    found = {r["doc_id"]: r["kept"] for r in quality_rules.apply_rules(docs).collect()}
+    bad = {*range(100, 130), 200, 202}
+    assert {doc for doc, kept in found.items() if not kept} == bad and len(found) == len(rows)
+    with duckdb.connect() as db:
+        db.register("documents", docs.toPandas())
+        told = db.execute(f"SELECT doc_id, kept FROM ({quality_rules.SQL})").fetchall()
+    assert dict(told) == found
+
+
 def test_classifier(spark, odd, empty):
     folder = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
