@@ -422,6 +422,10 @@ def oracle_sql() -> dict[str, str]:
         "apply_to_all_content": " UNION ALL ".join(_as_text(name, ALL_FIVE) for name in filtered),
         "bronze_content": _BRONZE_CONTENT,
         "gates": _GATES,
+        "rejected_pages": """
+          SELECT id, name, rating, NULL AS rejected_page FROM bronze
+          UNION ALL SELECT NULL, NULL, NULL, '{"results":[{"id":' || id || ',"name":'
+          FROM bronze WHERE id % 1000 = 0""",
         **{f"feed_{name}": f"SELECT {columns} FROM ({dataset_sql(dataset)})"
            for name, (dataset, columns) in FEED_COLUMNS.items()},
         "feed_all": " UNION ALL ".join(

@@ -217,6 +217,19 @@ def gates(spark, folder):
     return reduce(DataFrame.unionByName, rows)
 
 
+def rejected_pages(spark, folder):
+    """Records and rejects of a load that skips bad pages: one cut off page for every thousandth id."""
+    bench = workbench(spark, folder)
+    target, path = bench.new_target(), bench.stage.path("some_bad")
+    cut_off = bench.records.filter("id % 1000 = 0").select(
+        F.concat(F.lit('{"results":[{"id":'), F.col("id").cast("string"), F.lit(',"name":')).alias("value"))
+    spark.read.text(bench.pages).unionByName(cut_off).write.text(path)
+    load_bronze(spark, path, target, max_bad_pages=10**9)
+    tables = MedallionTables(spark, target)
+    return tables["bronze.items"].select("id", "name", "rating").unionByName(
+        tables["bronze.rejected_pages"], allowMissingColumns=True)
+
+
 def odd_dim_key_violations(spark, folder):
     bench = workbench(spark, folder, odd=True)
     return _one_row_each(
@@ -300,6 +313,7 @@ QUERIES: dict[str, Query] = {
     "apply_to_all_content": apply_to_all_content,
     "bronze_content": bronze_content,
     "gates": gates,
+    "rejected_pages": rejected_pages,
     **{f"odd_silver_{name}": _odd_silver(name) for name in ODD_SILVER},
     **{f"odd_gold_{name}": _odd_gold(name) for name in ODD_GOLD},
     **{f"odd_{name}": _odd_dataset(name) for name in ODD_DATASETS},

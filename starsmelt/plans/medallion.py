@@ -17,8 +17,8 @@ from starsmelt.operators.quality import (
 from starsmelt.plans.gold import GOLD_TABLES, build_gold, build_indexes, gold_layout
 from starsmelt.plans.silver import DIMENSION_KEYS, SILVER_TABLES, build_silver, silver_layout
 from starsmelt.schemas import BRONZE_FIELDS, BRONZE_SCHEMA
-from starsmelt.sources.pages import read_pages, require_pages
-from starsmelt.sources.parquet import NoRecords
+from starsmelt.sources.pages import REJECTED, TooManyRejects, read_marked_pages, read_pages, require_pages
+from starsmelt.sources.parquet import NoRecords, require_rows
 from starsmelt.sources.stage import Stage
 from starsmelt.sources.tables import Layer, Version, load_table, row_count_check
 
@@ -103,9 +103,14 @@ def load_bronze(
     target: Target,
     source_format: str = "pages",
     expected_pages: int | None = None,
+    max_bad_pages: int = 0,
 ) -> int:
     """Replace the bronze table and return its verified row count; an empty extract raises.
 
+    A bad page raises, unless ``max_bad_pages`` allows some: up to so many are skipped and their texts
+    become ``bronze.rejected_pages``, current at the same moment as the records. That table tells of
+    the last load that allowed any.
+
     ``source`` holds landed pages or, with ``source_format`` ``"parquet"``, staged records. Pages go
     to the table in one pass: pages and rows are counted while they are written, and a wrong count
     raises before the old table is replaced.
@@ -113,6 +118,8 @@ def load_bronze(
     layer = target.layer(spark, "bronze")
     if source_format == "parquet":
         rows = load_table(layer, source, "items", BRONZE_SCHEMA)
+    elif max_bad_pages:
+        rows = _load_good_pages(spark, source, layer, expected_pages, max_bad_pages)
     else:
         pages_seen, rows_seen = Observation(), Observation()
         records = read_pages(spark, source, BRONZE_FIELDS, pages_seen)
@@ -128,6 +135,28 @@ def load_bronze(
     return rows
 
 
+def _load_good_pages(
+    spark: SparkSession, source: str, layer: Layer, expected_pages: int | None, max_bad_pages: int
+) -> int:
+    """Records and rejects from one reading of the pages, which is staged: both tables scan that."""
+    pages_seen = Observation()
+    with Stage(spark) as stage:
+        marked = stage.put(read_marked_pages(spark, source, BRONZE_FIELDS, pages_seen), "marked")
+        require_pages(pages_seen, expected_pages, source)
+        found = pages_seen.get["bad_pages"]
+        if found > max_bad_pages:
+            raise TooManyRejects(f"{found} bad pages in {source}, at most {max_bad_pages} may be skipped")
+        records = require_rows(marked.filter(F.col(REJECTED).isNull()).drop(REJECTED), source)
+        rejects = marked.filter(F.col(REJECTED).isNotNull()).select(REJECTED)
+        rows = records.count()
+
+        def verify(written: DataFrame) -> None:
+            row_count_check(written, found if written.columns == [REJECTED] else rows)
+
+        layer.write({"items": records, "rejected_pages": rejects}, verify=verify)
+    return rows
+
+
 def _write_layer(
     layer: Layer, built: Mapping[str, DataFrame], layout: Callable, buckets: int
 ) -> None:
@@ -171,10 +200,11 @@ def run_medallion(
     target: Target = Target(),
     source_format: str = "pages",
     expected_pages: int | None = None,
+    max_bad_pages: int = 0,
 ) -> MedallionTables:
     """All steps in order; the first that fails raises and the later ones do not start."""
     target.create(spark)
-    rows = load_bronze(spark, source, target, source_format, expected_pages)
+    rows = load_bronze(spark, source, target, source_format, expected_pages, max_bad_pages)
     buckets = target.buckets_for(rows, spark.sparkContext.defaultParallelism)
     with Stage(spark) as stage:
         refine_silver(spark, target, stage, buckets)

@@ -1,9 +1,12 @@
 """Sources and sinks: landed pages, Parquet datasets, catalog tables."""
 
 from starsmelt.sources.pages import (
+    REJECTED,
     PagesMissing,
+    TooManyRejects,
     encode_nested,
     land_pages,
+    read_marked_pages,
     read_pages,
     require_pages,
 )
@@ -30,8 +33,8 @@ from starsmelt.sources.tables import (
 )
 
 __all__ = [
-    "Layer", "LayerBusy", "Layout", "NoRecords", "PagesMissing", "RowCountMismatch", "SchemaMismatch",
-    "Stage", "TableMissing", "Version", "create_schema",
-    "encode_nested", "land_pages", "load_table", "read_pages", "read_parquet", "read_table",
+    "Layer", "LayerBusy", "Layout", "NoRecords", "PagesMissing", "REJECTED", "RowCountMismatch",
+    "SchemaMismatch", "Stage", "TableMissing", "TooManyRejects", "Version", "create_schema",
+    "encode_nested", "land_pages", "load_table", "read_marked_pages", "read_pages", "read_parquet", "read_table",
     "require_columns", "require_pages", "require_rows", "row_count_check", "shared_folder", "write_parquet",
 ]

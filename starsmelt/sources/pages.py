@@ -10,6 +10,14 @@ from pyspark.sql import functions as F
 from starsmelt.schemas import BRONZE_FIELDS, ddl
 
 
+#: Column of a page that is not JSON of the expected types, with the page's text.
+REJECTED = "rejected_page"
+
+
+class TooManyRejects(ValueError):
+    """More pages were rejected than a load may skip."""
+
+
 class PagesMissing(ValueError):
     """Fewer or more pages landed than the extract announced."""
 
@@ -41,6 +49,35 @@ def read_pages(
     return pages.select(F.inline("results"))
 
 
+def read_marked_pages(
+    spark: SparkSession,
+    path: str,
+    fields: dict[str, str] = BRONZE_FIELDS,
+    pages_seen: Observation | None = None,
+    multi_line: bool = False,
+) -> DataFrame:
+    """Records of the good pages and the text of the bad ones, from one reading.
+
+    A record has a NULL ``rejected_page``; a bad page is one row that has its text there and nothing
+    else. A page is bad as a whole if it is not JSON or if any field has another type, so no record
+    is taken from a page that was understood in part. ``pages_seen`` receives ``pages`` and
+    ``bad_pages`` when the result is written.
+    """
+    pages = (
+        spark.read.schema(f"results array<struct<{ddl(fields)}>>, {REJECTED} string")
+        .option("multiLine", multi_line)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", REJECTED)
+        .json(path)
+    )
+    if pages_seen is not None:
+        pages = pages.observe(
+            pages_seen, F.count(F.lit(1)).alias("pages"), F.count(REJECTED).alias("bad_pages"))
+    bad = F.col(REJECTED).isNotNull()
+    return pages.filter(bad | (F.size("results") > 0)).select(
+        F.inline_outer(F.when(~bad, F.col("results"))), REJECTED)
+
+
 def require_pages(pages_seen: Observation, expected: int | None, path: str) -> None:
     """Raise unless the pages read are those the extract announced; None expects nothing."""
     found = pages_seen.get["pages"]

@@ -7,8 +7,10 @@ import pytest
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Observation
 
+from starsmelt.plans.medallion import MedallionTables, Target, load_bronze
 from starsmelt.schemas import BRONZE_FIELDS, BRONZE_SCHEMA
 from starsmelt.sources import (
+    REJECTED,
     Layer,
     Layout,
     NoRecords,
@@ -16,8 +18,10 @@ from starsmelt.sources import (
     RowCountMismatch,
     SchemaMismatch,
     Stage,
+    TooManyRejects,
     land_pages,
     load_table,
+    read_marked_pages,
     read_pages,
     read_parquet,
     read_table,
@@ -68,6 +72,39 @@ def test_broken_pages_raise(spark, tmp_path):
         read_pages(spark, path, FIELDS).collect()
 
 
+def test_bad_pages_are_skipped_up_to_a_limit(spark, tmp_path):
+    good = '{"results":[{"id":1,"name":"x"},{"id":2,"name":null}]}'
+    path = write(tmp_path / "mixed", a=good, b='{"results":[', c='{"results":[{"id":"text"},{"id":3}]}',
+                 d='{"results":[]}', e='{"detail":"gone"}', f='{"results":null}')
+    seen = Observation()
+    rows = read_marked_pages(spark, path, FIELDS, seen).collect()
+    assert sorted(r["id"] for r in rows if r[REJECTED] is None) == [1, 2]
+    assert sorted(r[REJECTED] for r in rows if r[REJECTED]) == ['{"results":[', '{"results":[{"id":"text"},{"id":3}]}']
+    assert all(r["id"] is None for r in rows if r[REJECTED])
+    assert seen.get == {"pages": 6, "bad_pages": 2}
+
+    target = Target("t_rej_b", "t_rej_s", "t_rej_g", location=str(tmp_path / "layers"))
+    target.create(spark)
+    assert load_bronze(spark, path, target, max_bad_pages=2) == 2
+    tables = MedallionTables(spark, target)
+    assert tables["bronze.items"].columns == list(BRONZE_FIELDS) and tables["bronze.items"].count() == 2
+    assert tables["bronze.rejected_pages"].count() == 2
+    worse = write(tmp_path / "worse", a=good, b="{", c="[", d="x")
+    with pytest.raises(TooManyRejects, match="3 bad pages"):
+        load_bronze(spark, worse, target, max_bad_pages=2)
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        load_bronze(spark, worse, target)
+    with pytest.raises(PagesMissing):
+        load_bronze(spark, path, target, expected_pages=7, max_bad_pages=2)
+    none = write(tmp_path / "none", a="{")
+    with pytest.raises(NoRecords):
+        load_bronze(spark, none, target, max_bad_pages=2)
+    assert MedallionTables(spark, target)["bronze.rejected_pages"].count() == 2
+    clean = write(tmp_path / "clean", a=good)
+    assert load_bronze(spark, clean, target, max_bad_pages=2) == 2
+    assert MedallionTables(spark, target)["bronze.rejected_pages"].count() == 0
+
+
 def test_landed_pages_are_bounded_and_lose_nothing(spark, tmp_path):
     df = spark.range(1000).selectExpr("id", "'same' AS name", "array(named_struct('id', id)) AS genres")
     path = str(tmp_path / "pages")
