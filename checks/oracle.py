@@ -156,6 +156,7 @@ ACCEPTS = {
 }
 ALL_FIVE = {"category": "Brand#4", "family": "ASIA", "content_rating": "Not Rated",
             "date_from": "1996-01-01", "date_to": "1999-12-31"}
+DATES_ONLY = {"date_from": "1996-01-01", "date_to": "1999-12-31"}
 SELECTIONS = {
     "filter_category": {"category": "Brand#4"},
     "filter_family": {"family": "ASIA"},
@@ -420,6 +421,8 @@ def oracle_sql() -> dict[str, str]:
         "apply_to_all": _row_counts(
             {name: dataset_sql(name, ALL_FIVE) for name in filtered}, "dataset", "row_count"),
         "apply_to_all_content": " UNION ALL ".join(_as_text(name, ALL_FIVE) for name in filtered),
+        "apply_together_filtered": " UNION ALL ".join(_as_text(name, ALL_FIVE) for name in filtered),
+        "apply_together_dates": " UNION ALL ".join(_as_text(name, DATES_ONLY) for name in filtered),
         "bronze_content": _BRONZE_CONTENT,
         "gates": _GATES,
         "rejected_pages": """

@@ -23,6 +23,7 @@ from starsmelt.plans.datasets import DATASETS, apply_to_all, run
 from starsmelt.plans.feeds import FEEDS, feed
 from starsmelt.plans.gold import GOLD_TABLES
 from starsmelt.plans.medallion import MedallionTables, load_bronze, quality_report
+from starsmelt.plans.selection import apply_together
 from starsmelt.plans.silver import DIMENSION_KEYS, SILVER_TABLES
 from starsmelt.schemas import BRONZE_SCHEMA, DECODED_COLUMNS, SCALAR_FIELDS
 from starsmelt.sources import (
@@ -42,6 +43,7 @@ P2 = Params(family="ASIA")
 P3 = Params(content_rating="Not Rated")
 P4_FROM = Params(date_from="1996-01-01")
 P4_TO = Params(date_to="1999-12-31")
+P4 = Params(date_from="1996-01-01", date_to="1999-12-31")
 P5 = Params("Brand#4", "ASIA", "Not Rated", "1996-01-01", "1999-12-31")
 
 FILTERS = {
@@ -160,13 +162,24 @@ def _as_text(df: DataFrame) -> F.Column:
     return F.concat_ws("|", *[F.coalesce(F.col(name).cast("string"), F.lit("~")) for name in df.columns])
 
 
-def apply_to_all_content(spark, folder):
-    """Every row of every dataset that one selection narrows, as text."""
-    found = apply_to_all(workbench(spark, folder), P5)
+def _content(found: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [
         df.select(F.lit(name).alias("dataset"), _as_text(df).alias("content")) for name, df in found.items()])
 
 
+def apply_to_all_content(spark, folder):
+    """Every row of every dataset that one selection narrows, as text."""
+    return _content(apply_to_all(workbench(spark, folder), P5))
+
+
+def _together(params: Params) -> Query:
+    """The same rows from one evaluation of all datasets."""
+    def query(spark, folder):
+        bench = workbench(spark, folder)
+        return _content(apply_together(bench, params, bench.stage))
+    return query
+
+
 def bronze_content(spark, folder):
     """Every element that the JSON columns of bronze hold, read back from the text."""
     decoded = parse_json_columns(workbench(spark, folder).bronze, DECODED_COLUMNS)
@@ -311,6 +324,8 @@ QUERIES: dict[str, Query] = {
     **{f"{name}_filtered": _dataset(name, P5) for name, ds in DATASETS.items() if ds.accepts},
     "apply_to_all": apply_to_all_rows,
     "apply_to_all_content": apply_to_all_content,
+    "apply_together_filtered": _together(P5),
+    "apply_together_dates": _together(P4),
     "bronze_content": bronze_content,
     "gates": gates,
     "rejected_pages": rejected_pages,

@@ -47,7 +47,7 @@ def _fact(tables: Tables, params: Params, name: str) -> DataFrame:
     return apply_filters(tables["gold.fact_items"], tables, params, DATASETS[name].accepts)
 
 
-def _index(tables: Tables, name: str, *sources: str) -> DataFrame:
+def index_table(tables: Tables, name: str, *sources: str) -> DataFrame:
     """What the gold build wrote along with its tables, or the same rows made now from tables without it."""
     try:
         return tables[f"gold.{name}"]
@@ -166,7 +166,7 @@ def top_tags(tables, params):
     items, and what moves is counted already.
     """
     items = _fact(tables, params, "top_tags").select("item_id")
-    lists = _index(tables, ITEM_TAGS, "silver.bridge_item_tags", "silver.dim_tags").join(
+    lists = index_table(tables, ITEM_TAGS, "silver.bridge_item_tags", "silver.dim_tags").join(
         items, "item_id", "left_semi")
     return (
         lists.select(F.inline("tags"))
@@ -235,7 +235,7 @@ def category_by_family(tables, params):
     are distinct per item, so the counting needs no second pass over the joined rows.
     """
     categories = tables["gold.bridge_categories"].select("item_id", "category_name")
-    largest = _index(tables, LARGEST_CATEGORIES, "gold.bridge_categories").select(
+    largest = index_table(tables, LARGEST_CATEGORIES, "gold.bridge_categories").select(
         F.col("category_name").alias("top_name"))
     groups = (
         categories.filter("category_name IS NOT NULL")
@@ -265,8 +265,12 @@ def targets(param: str) -> list[str]:
     return [name for name, dataset in DATASETS.items() if param in dataset.accepts]
 
 
-def apply_to_all(tables: Tables, params: Params) -> dict[str, DataFrame]:
-    """One selection over every dataset that accepts at least one of the filters that are set."""
+def narrowed(params: Params) -> list[str]:
+    """The datasets that accept at least one of the filters that are set."""
     given = {name for name, value in vars(params).items() if value is not None}
-    return {name: run(name, tables, params) for name, dataset in DATASETS.items()
-            if given & dataset.accepts}
+    return [name for name, dataset in DATASETS.items() if given & dataset.accepts]
+
+
+def apply_to_all(tables: Tables, params: Params) -> dict[str, DataFrame]:
+    """One selection over every dataset that it narrows, a plan each."""
+    return {name: run(name, tables, params) for name in narrowed(params)}
