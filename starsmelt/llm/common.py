@@ -51,16 +51,16 @@ def _forget(spark: SparkSession, path: str) -> None:
 
 
 @contextmanager
-def bucketed(df: DataFrame, name: str, key: str) -> Iterator[DataFrame]:
-    """``df`` as a table bucketed on ``key`` in the shared store, for as long as the block lasts.
+def bucketed(df: DataFrame, name: str, *keys: str) -> Iterator[DataFrame]:
+    """``df`` as a table bucketed on ``keys`` in the shared store, for as long as the block lasts.
 
-    Joins on the key then read it without a shuffle, as often as they like.
+    Joins on all the keys then read it without a shuffle, as often as they like.
     """
     spark = df.sparkSession
     table = f"llm_{name}_{uuid.uuid4().hex[:12]}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = f"{shared_folder(spark)}/{table}"
-    df.write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+    df.write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(table)
     _forget(spark, path)
     try:
         yield spark.table(table)

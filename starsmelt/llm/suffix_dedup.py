@@ -46,6 +46,8 @@ SLICE_BYTES, BLOCK_BYTES = 1 << 20, 4 << 20
 #: Distinct passages of one anchor that go to one block. Windows of an anchor with more are grouped
 #: by their bytes instead.
 HOT = 20_000
+#: The key of a row, in two columns.
+ROW, ROW_TYPES = ["k1", "k2"], "k1 long, k2 long"
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _PLACE = np.uint64((1 << 24) - 1)
 
@@ -190,9 +192,12 @@ class RunLengthIndex:
         return (self.matches() >= self.length) | (self.weights[self.owner] > 1)
 
 
-def _key(doc_id, text: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(text, digest_size=8, key=str(doc_id).encode()).digest(),
-                          "little", signed=True)
+def _row_keys(ids: list, texts: list[bytes]) -> list[pa.Array]:
+    """128 bits for each row, of its id and text, so that no two texts of any corpus share them."""
+    hashes = b"".join(hashlib.blake2b(text, digest_size=16, key=str(doc_id).encode()).digest()
+                      for doc_id, text in zip(ids, texts))
+    parts = np.frombuffer(hashes, np.int64).reshape(-1, 2)
+    return [pa.array(parts[:, 0]), pa.array(parts[:, 1])]
 
 
 def _long(values) -> pa.Array:
@@ -214,14 +219,14 @@ def _anchors(source: DataFrame, length: int, gram: int) -> DataFrame:
                 text, _, _, hashes = passages(texts[a:b], length, gram)
                 bounds = np.searchsorted(text, np.arange(b - a + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([_key(i, t) for i, t in zip(ids[a:b], texts[a:b])], pa.int64()),
+                    [*_row_keys(ids[a:b], texts[a:b]),
                      pa.array(ids[a:b], pa.int64()), pa.array([len(t) for t in texts[a:b]], pa.int64()),
                      pa.array([hashlib.sha256(t).hexdigest() for t in texts[a:b]]),
                      pa.ListArray.from_arrays(pa.array(bounds), _long(hashes))],
-                    names=["row_key", "doc_id", "n_bytes", "sha256", "anchors"])
+                    names=[*ROW, "doc_id", "n_bytes", "sha256", "anchors"])
 
     return source.mapInArrow(
-        run, "row_key long, doc_id long, n_bytes long, sha256 string, anchors array<long>")
+        run, f"{ROW_TYPES}, doc_id long, n_bytes long, sha256 string, anchors array<long>")
 
 
 def _blobs(source: DataFrame) -> DataFrame:
@@ -230,10 +235,10 @@ def _blobs(source: DataFrame) -> DataFrame:
             pack = zstandard.ZstdCompressor(level=1)
             texts, ids = whole_bytes(batch.column("text")), batch.column("doc_id").to_pylist()
             yield pa.RecordBatch.from_arrays(
-                [pa.array([_key(i, t) for i, t in zip(ids, texts)], pa.int64()),
-                 pa.array([pack.compress(t) for t in texts], pa.binary())], names=["row_key", "blob"])
+                [*_row_keys(ids, texts),
+                 pa.array([pack.compress(t) for t in texts], pa.binary())], names=[*ROW, "blob"])
 
-    return source.mapInArrow(run, "row_key long, blob binary")
+    return source.mapInArrow(run, f"{ROW_TYPES}, blob binary")
 
 
 def _cut(texts: DataFrame, length: int, gram: int) -> DataFrame:
@@ -245,7 +250,8 @@ def _cut(texts: DataFrame, length: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plain = zstandard.ZstdDecompressor()
         for batch in small_batches(batches, "blob"):
-            keys, blobs = batch.column("row_key").to_pylist(), batch.column("blob").to_pylist()
+            keys = list(zip(*(batch.column(c).to_pylist() for c in ROW)))
+            blobs = batch.column("blob").to_pylist()
             wanted = batch.column("wanted")
             rows: dict[tuple, list] = {}
             sent: set[tuple] = set()
@@ -263,23 +269,23 @@ def _cut(texts: DataFrame, length: int, gram: int) -> DataFrame:
                         piece = own[s:s + n + length - 1]
                         digest = int.from_bytes(hashlib.blake2b(piece, digest_size=8).digest(),
                                                 "little", signed=True)
-                        row = rows.get((keys[a + k], h, digest))
+                        row = rows.get((*keys[a + k], h, digest))
                         if row is None:
                             new = (h, digest) not in sent
                             sent.add((h, digest))
-                            rows[(keys[a + k], h, digest)] = [[s], n, piece if new else None]
+                            rows[(*keys[a + k], h, digest)] = [[s], n, piece if new else None]
                         else:
                             row[0].append(s)
             at = list(rows)
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array([x[i] for x in at], pa.int64()) for i in range(3)),
+                [*(pa.array([x[i] for x in at], pa.int64()) for i in range(4)),
                  pa.array([rows[x][0] for x in at], pa.list_(pa.int32())),
                  pa.array([rows[x][1] for x in at], pa.int32()),
                  pa.array([rows[x][2] for x in at], pa.binary())],
-                names=["row_key", "anchor", "digest", "starts", "windows", "piece"])
+                names=[*ROW, "anchor", "digest", "starts", "windows", "piece"])
 
     return texts.mapInArrow(
-        run, "row_key long, anchor long, digest long, starts array<int>, windows int, piece binary")
+        run, f"{ROW_TYPES}, anchor long, digest long, starts array<int>, windows int, piece binary")
 
 
 FOUND = "anchor long, digest long, spans binary"
@@ -341,7 +347,7 @@ def _counted(pieces: DataFrame, length: int) -> DataFrame:
 
 
 def _removed(texts: DataFrame, length: int) -> DataFrame:
-    """``row_key, spans, n_removed, kept`` of texts with repeated windows."""
+    """``k1, k2, spans, n_removed, kept`` of texts with repeated windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plain = zstandard.ZstdDecompressor()
@@ -361,14 +367,14 @@ def _removed(texts: DataFrame, length: int) -> DataFrame:
                 removed.append(int(gone.sum()))
                 kept.append(np.frombuffer(text, np.uint8)[~gone].tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row_key"),
+                [*(batch.column(c) for c in ROW),
                  pa.array(spans, pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))),
                  pa.array(removed, pa.int64()), pa.array([hashlib.sha256(k).hexdigest() for k in kept]),
                  pa.array(kept, pa.binary())],
-                names=["row_key", "spans", "n_removed", "sha256", "kept"])
+                names=[*ROW, "spans", "n_removed", "sha256", "kept"])
 
-    return texts.select("row_key", "blob", "found").mapInArrow(
-        run, "row_key long, spans array<struct<begin:long,end:long>>, n_removed long, "
+    return texts.select(*ROW, "blob", "found").mapInArrow(
+        run, f"{ROW_TYPES}, spans array<struct<begin:long,end:long>>, n_removed long, "
              "sha256 string, kept binary")
 
 
@@ -386,13 +392,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         raise ValueError("gram must be a power of two, 8 at least and length at most")
     source = id_and_text(docs, id_col, text_col)
     base = stage(_anchors(source, length, gram), "anchors")
-    each = base.select("row_key", F.explode("anchors").alias("anchor"))
+    each = base.select(*ROW, F.explode("anchors").alias("anchor"))
     again = each.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
-    wanted = each.join(again, "anchor", "left_semi").groupBy("row_key").agg(
+    wanted = each.join(again, "anchor", "left_semi").groupBy(*ROW).agg(
         F.collect_set("anchor").alias("wanted"))  # no more than the text has passages
     # which texts go on grows with the corpus: not to be broadcast at any size
-    some = _blobs(source).join(wanted.hint("merge"), "row_key")
-    with bucketed(some, "passages", "row_key") as texts:
+    some = _blobs(source).join(wanted.hint("merge"), ROW)
+    with bucketed(some, "passages", *ROW) as texts:
         cut = stage(_cut(texts, length, gram), "cut")
         occurrences = cut.groupBy("anchor", "digest").agg(
             F.sum(F.size("starts")).alias("weight"), F.first("windows").alias("windows"),
@@ -405,14 +411,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 _counted(pieces.join(hot, "anchor", "left_semi"), length))
         else:
             found = _indexed(pieces, length)
-        places = cut.select("row_key", "anchor", "digest", "starts").join(
+        places = cut.select(*ROW, "anchor", "digest", "starts").join(
             stage(found, "found"), ["anchor", "digest"])
-        hits = places.groupBy("row_key").agg(  # no more than the text has passages
+        hits = places.groupBy(*ROW).agg(  # no more than the text has passages
             F.collect_set(F.struct("starts", "spans")).alias("found"))
-        gone = stage(_removed(texts.join(hits.hint("merge"), "row_key"), length).drop("kept")
-                     .dropDuplicates(["row_key"]), "removed")
-    return base.select("row_key", "doc_id", "n_bytes", "sha256").join(
-        gone.withColumnRenamed("sha256", "rest"), "row_key", "left").select(
+        gone = stage(_removed(texts.join(hits.hint("merge"), ROW), length).drop("kept")
+                     .dropDuplicates(ROW), "removed")
+    return base.select(*ROW, "doc_id", "n_bytes", "sha256").join(
+        gone.withColumnRenamed("sha256", "rest"), ROW, "left").select(
         "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
         F.coalesce("spans", F.array().cast("array<struct<begin:long,end:long>>")).alias("spans"),
         F.coalesce("rest", "sha256").alias("kept_sha256"))
