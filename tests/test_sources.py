@@ -193,3 +193,23 @@ def test_a_cluster_needs_a_shared_folder():
     assert shared_folder(session("local[2]")) == shared_folder(session("local[2]"))
     with pytest.raises(RuntimeError):
         shared_folder(session("yarn"))
+
+
+def test_pages_land_without_a_shuffle_in_bounded_files(spark, tmp_path):
+    """A page holds neighbours of one task; a compressed file, which one task reads, holds few pages."""
+    df = spark.range(0, 1000, 1, 2).selectExpr("id", "IF(id % 5 = 0, NULL, 'x') AS name", "array(named_struct('id', id)) AS genres")
+    path = tmp_path / "pages"
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("landing", "landing")
+    try:
+        land_pages(df, str(path), page_size=40, pages_per_file=4)
+        stages = [s for j in jobs.getJobIdsForGroup("landing") for s in jobs.getJobInfo(j).stageIds]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(stages) == 1
+    files = sorted(path.glob("part-*"))
+    assert {f.name.rsplit(".", 1)[-1] for f in files} == {"gz"} and len(files) == 8  # 13 pages of each task
+    assert spark.read.text(str(path)).count() == 26
+    back = sorted((r["id"], r["name"], r["genres"]) for r in read_pages(spark, str(path), FIELDS).collect() if r["name"])
+    assert [(i, n) for i, n, _ in back] == [(i, "x") for i in range(1000) if i % 5]
+    assert read_pages(spark, str(path), FIELDS).count() == 1000
