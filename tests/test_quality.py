@@ -145,3 +145,17 @@ def test_dedupe_is_exact_at_any_share_of_repeats(spark, share):
     with Stage(spark) as stage:
         found = sorted(map(tuple, dedupe(rows, ["k"], stage).collect()))
     assert found == sorted(map(tuple, dedupe_by_key(rows, ["k"]).collect()))
+
+
+def test_dedupe_stages_unique_rows_without_sorting_them(spark, tmp_path):
+    """The wide rows go to disk as they come, are derived once each, and repeats are ranked."""
+    rows = [(1, "b"), (1, "a"), (2, "c"), (None, "e"), (None, "d")]
+    df = spark.createDataFrame(rows, "id bigint, a string")
+    written = []
+    with Stage(spark, str(tmp_path / "stage")) as stage:
+        found = dedupe(df, ["id"], stage, derive=lambda kept: written.append(kept) or kept.withColumn(
+            "b", F.upper("a")))
+        assert values(found) == sorted([(1, "a", "A"), (2, "c", "C"), (None, "d", "D")], key=repr)
+        assert [c for c in found.columns] == ["id", "a", "b"]
+        assert not list((tmp_path / "stage").glob("unique-*/_copies=*"))  # a partitioned write sorts all rows
+    assert len(written) == 2
