@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from checks.queries import P5, lineitem_dedupe
 from checks.workbench import Workbench
+from starsmelt.fixtures import _line_records
 from starsmelt.operators.filters import Params, apply_filters
 from starsmelt.operators.joins import denormalise
 from starsmelt.operators.quality import duplicate_keys, mark_repeats, null_tokens_to_null
@@ -171,3 +172,20 @@ def test_hot_key_of_a_dimension_join_is_split(spark, tmp_path, null_key):
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
+
+
+def test_lines_move_to_their_order_once_and_are_grouped_there(spark, large):
+    text = plan(_line_records(spark, FOLDER))
+    assert text.count("Exchange hashpartitioning(l_orderkey") == 1
+    below = text[text.index("Exchange hashpartitioning(l_orderkey"):]
+    assert "Aggregate" in text and "Aggregate" not in below
+
+
+def test_tags_of_an_item_are_grouped_after_they_moved(bench, large):
+    text = plan(bench.build_gold("index_item_tags"))
+    assert text.count("Exchange hashpartitioning(item_id") == 1
+    assert "Aggregate" not in text[text.index("Exchange hashpartitioning(item_id"):]
+
+
+def test_a_task_holds_the_lists_of_a_bounded_bucket(bench):
+    assert [bench.target.buckets_for(rows, 12) for rows in (9_000_000, 54_000_000)] == [45, 270]

@@ -73,3 +73,29 @@ def test_one_scan_of_the_fact_and_of_each_bridge(bench, large, label):  # noqa:
 def test_alone_they_read_the_fact_eleven_times(bench, large):  # noqa: F811
     found = apply_to_all(bench, SETS["P4"]).values()
     assert sum(len(re.findall(r"FileScan .*released", plan(df))) for df in found) == 11
+
+
+def test_no_entry_of_an_item_is_kept_to_count_it(bench, large):  # noqa: F811
+    """A distinct count would keep a key for each item and group of every chart in a task."""
+    charts = [name for name in narrowed(SETS["P4"]) if name != "top_items"]
+    text = plan(grouped_entries(bench, SETS["P4"], charts))
+    assert not re.search(r"keys?=\[chart[^\]]*item_id", text)
+
+
+def test_rows_of_an_item_with_two_ratings_count_once(spark):
+    """By hand: two fact rows of an item, a name that repeats in its bridge, and an item without an id."""
+    fact = spark.createDataFrame(
+        [(1, "a", 2000, 1.0, 3, 20), (1, "b", 2000, 1.0, 3, 20), (2, "a", 2001, 2.0, 0, 20), (None, "a", 2001, 3.0, 5, 20)],
+        "item_id bigint, content_rating string, release_year int, rating double, usage_hrs bigint, ratings_count bigint"
+    ).selectExpr("*", "make_date(release_year, 1, 1) AS released", "string(item_id) AS item_name")
+    names = {"bridge_categories": "category_name", "bridge_platform_families": "platform_family_name",
+             "bridge_stores": "store_name"}
+    tables = {"gold.fact_items": fact, **{
+        f"gold.{table}": spark.createDataFrame([(1, "x"), (1, "x"), (1, "y"), (2, "x"), (2, None)], f"item_id bigint, {name} string")
+        for table, name in names.items()}}
+    tables["gold.bridge_votes"] = spark.createDataFrame([(1, "A", 2)], "item_id bigint, vote_title string, vote_count bigint")
+    tables["gold.index_item_tags"] = spark.sql("SELECT 1L AS item_id, array(named_struct('tag_name', 't')) AS tags")
+    for params in (Params(date_from="1999-01-01"), Params(date_from="1999-01-01", content_rating="b"),
+                   Params(date_from="1999-01-01", content_rating="a", category="y")):
+        with Stage(spark) as stage:
+            assert_same(tables, params, stage)
