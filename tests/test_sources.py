@@ -213,3 +213,13 @@ def test_pages_land_without_a_shuffle_in_bounded_files(spark, tmp_path):
     back = sorted((r["id"], r["name"], r["genres"]) for r in read_pages(spark, str(path), FIELDS).collect() if r["name"])
     assert [(i, n) for i, n, _ in back] == [(i, "x") for i in range(1000) if i % 5]
     assert read_pages(spark, str(path), FIELDS).count() == 1000
+
+
+def test_datasets_and_tables_are_written_in_the_denser_codec(spark, tmp_path):
+    rows = spark.range(10).selectExpr("id", "repeat('{}', 50) AS text")
+    write_parquet(rows, str(tmp_path / "dataset"))
+    layer = Layer(spark, "dense", str(tmp_path))
+    layer.write({"plain": rows, "bucketed": rows}, {"bucketed": Layout("id", (), 2)})
+    written = list(tmp_path.rglob("*.parquet"))
+    files = [path for path in written if path.is_file()]
+    assert len(files) >= 4 and all(path.name.endswith(".zstd.parquet") for path in files)
