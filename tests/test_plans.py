@@ -189,3 +189,17 @@ def test_tags_of_an_item_are_grouped_after_they_moved(bench, large):
 
 def test_a_task_holds_the_lists_of_a_bounded_bucket(bench):
     assert [bench.target.buckets_for(rows, 12) for rows in (9_000_000, 54_000_000)] == [45, 270]
+
+
+def test_lines_move_what_an_order_counts_as_one_number(spark, large):
+    """The flags of a line are bits of a number before its first move, so no move carries their text."""
+    text = plan(_line_records(spark, FOLDER))
+    first_move = text[:text.index("Exchange hashpartitioning(l_partkey")]
+    assert "marks" in first_move and "l_returnflag" not in first_move and "l_discount" not in first_move
+
+
+def test_records_that_are_read_once_are_not_staged(spark):
+    bench = Workbench(spark, FOLDER)
+    assert bench.bronze.count() == 1515 and bench.pages
+    assert "records" not in vars(bench)
+    assert "FileScan parquet" in plan(bench.records) and "lineitem" not in plan(bench.records_once)
