@@ -70,6 +70,20 @@ def test_one_scan_of_the_fact_and_of_each_bridge(bench, large, label):  # noqa:
     assert len(exchanges(text)) == 1  # of groups, which were added up before
 
 
+@pytest.mark.parametrize("adaptive", ["false", "true"])
+def test_lists_of_items_are_never_broadcast(spark, bench, large, adaptive):  # noqa: F811
+    """However small the bridges' files: what the driver would collect is the lists of all items."""
+    charts = [name for name in narrowed(SETS["P4"]) if name != "top_items"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    groups = grouped_entries(bench, SETS["P4"], charts)
+    groups.collect()  # adaptive execution has then chosen its joins
+    text = plan(groups).split("+- == Initial Plan ==")[0]
+    assert text.count("SortMergeJoin") == 5
+    assert text.count("BroadcastExchange") == text.count("BroadcastHashJoin") == 1  # the five largest names
+    assert [e for e in exchanges(text) if "item_id" in e] == []
+
+
 def test_alone_they_read_the_fact_eleven_times(bench, large):  # noqa: F811
     found = apply_to_all(bench, SETS["P4"]).values()
     assert sum(len(re.findall(r"FileScan .*released", plan(df))) for df in found) == 11
